@@ -19,26 +19,32 @@ def rank_within_slices(df: DataFrame, group: str, order: Sequence[Column], into:
     """The same numbers when a group is too large for one task.
 
     Rows are range-partitioned on the group and the full order, so a large group
-    is cut into consecutive slices. A row's number is its place in its slice
-    plus the rows in the group's earlier slices. The slices are fixed by a
-    checkpoint, since the cut points come from a sample and both the counts and the rows
-    have to see the same ones. ``order`` must be total for an exact result.
+    is cut into consecutive slices of about equal size. A row's number is its place in
+    its slice plus the rows in the group's earlier slices. ``order`` must be total.
     """
-    sliced = materialise(
-        df.repartitionByRange(F.col(group), *order).withColumn("_slice", F.spark_partition_id())
-    )
+    return rank_sliced(materialise(sliced(df, group, order)), group, order, into)
+
+
+def sliced(df: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
+    """Rows in range partitions, each with the number of its partition in ``_slice``.
+
+    Write or checkpoint the result before using it twice: the cut points come
+    from a sample, and all readers have to see the same ones.
+    """
+    ranged = df.repartitionByRange(F.col(group), *order)
+    return ranged.withColumn("_slice", F.spark_partition_id())
+
+
+def rank_sliced(df: DataFrame, group: str, order: Sequence[Column], into: str) -> DataFrame:
+    """Positions from rows that ``sliced`` made."""
     # One row per group and slice: as many as there are groups and partitions.
     earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(group, "_slice")
+        df.groupBy(group, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(group, "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     place = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
-    return (
-        sliced.withColumn("_place", place)
-        .join(offsets, [group, "_slice"])
-        .withColumn(into, (F.col("_before") + F.col("_place")).cast("int"))
-        .drop("_slice", "_place", "_before")
-        .select(*df.columns, into)
-    )
+    position = (F.col("_before") + F.col("_place")).cast("int").alias(into)
+    kept = [c for c in df.columns if c != "_slice"]
+    return df.withColumn("_place", place).join(offsets, [group, "_slice"]).select(*kept, position)

@@ -56,9 +56,9 @@ def score(
 ) -> DataFrame:
     """Scale each criterion within its group and add the weighted scores.
 
-    ``limits`` has one row per group. Spark broadcasts it while its measured
-    size is below the broadcast threshold; past that it is a sort-merge join, in
-    which adaptive execution splits the partition of an oversized group.
+    ``limits`` has one row per group. Callers that have counted the groups can
+    broadcast it; past that the join is a sort-merge join, in which adaptive
+    execution splits the partition of an oversized group.
     """
     scaled = df.join(limits, group).select(
         *df.columns,

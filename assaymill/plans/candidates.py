@@ -24,6 +24,9 @@ DENSITY = "average_density_g_per_cm3"
 # Candidates of one program that one task sorts; larger programs are sliced.
 ROWS_PER_TASK = 1_000_000
 
+# Programs whose bounds, some 150 bytes each, are sent to every executor.
+BROADCAST_PROGRAMS = 100_000
+
 
 def event_order() -> list[Column]:
     """Which copy of an event is kept: the latest, then the last one read."""
@@ -76,16 +79,24 @@ def rank_candidates(
 ) -> DataFrame:
     """Score and rank a summary that has been written or checkpointed.
 
-    Reads it twice, for the bounds and for the rows, and looks at the size of the
-    largest program to choose how to rank.
+    Reads it for the bounds and for the rows. How many programs there are decides
+    whether the bounds are broadcast, and the largest program how to rank.
     """
     limits = bounds(summary, PROGRAM, weighed)
+    programs, largest = limits.agg(F.count(F.lit(1)), F.max("group_rows")).first()
+    if programs <= BROADCAST_PROGRAMS:
+        limits = F.broadcast(limits)
     scored = score(summary, limits, PROGRAM, weighed, "candidate_score")
-    largest = limits.agg(F.max("group_rows")).first()[0] or 0
-    rank = rank_within if largest <= rows_per_task else rank_within_slices
+    rank = rank_within if (largest or 0) <= rows_per_task else rank_within_slices
     return rank(scored, PROGRAM, candidate_order(), "candidate_rank").select(*CANDIDATE_COLUMNS)
 
 
+def scored_candidates(summary: DataFrame, weighed: Sequence[Criterion]) -> DataFrame:
+    """The summary with its scores, not yet ranked."""
+    limits = bounds(summary, PROGRAM, weighed)
+    return score(summary, limits, PROGRAM, weighed, "candidate_score")
+
+
 def material_candidates(
     events: DataFrame,
     strength_weight: float = 0.45,

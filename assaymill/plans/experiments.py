@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ EXPERIMENT_RULES = (
 # --- end of fixed values ---
 
 
-def validated_events(raw: DataFrame) -> DataFrame:
+def validated_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every raw row with its flat event columns, its error codes and its verdict.
 
     Narrow from end to end and usable on a stream. The rules accept some
@@ -58,6 +60,8 @@ def validated_events(raw: DataFrame) -> DataFrame:
 
     An unreadable time becomes NULL and is reported by its rule. The failing
     conversion would end the whole job under ANSI mode instead.
+
+    ``keep`` names further columns of ``raw`` to carry along in front.
     """
     parsed = parse_json(raw, "raw_payload", EVENT)
     flat = parsed.select(
@@ -73,7 +77,7 @@ def validated_events(raw: DataFrame) -> DataFrame:
     return (
         rules.validate(flat, EXPERIMENT_RULES, F.col("readable"))
         .withColumn("processed_at", F.current_timestamp())
-        .select(*VALIDATED_COLUMNS)
+        .select(*keep, *VALIDATED_COLUMNS)
     )
 
 

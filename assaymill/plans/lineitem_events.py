@@ -33,7 +33,7 @@ BASE = {
         " substr(event_key, 13, 4), substr(event_key, 17, 4), substr(event_key, 21, 12))"
     ),
     "event_type": "'experiment.completed'",
-    "occurred_at": "concat(replace(cast(l_shipdate AS varchar(30)), ' ', 'T'), 'Z')",
+    "occurred_at": "concat(replace(cast(l_shipdate AS string), ' ', 'T'), 'Z')",
     "source_system": "l_linestatus",
     "experiment_id": "concat('EXP-', l_orderkey)",
     "program_id": "p_brand",
@@ -59,13 +59,15 @@ class Fault:
     """How an event is spoiled, and what the rules and the contract have to say.
 
     ``changes`` replace base columns (SQL, NULL drops the key), ``payload``
-    rewrites the finished JSON text, called ``json`` in it.
+    rewrites the finished JSON text, called ``json`` in it. ``lost`` says that
+    no field survives the parse.
     """
 
     codes: tuple[str, ...] = ()
     violations: tuple[tuple[str, str], ...] = ()
     changes: Mapping[str, str] = field(default_factory=dict)
     payload: str | None = None
+    lost: bool = False
 
 
 MATERIAL = "experiment.material"
@@ -77,6 +79,7 @@ FAULTS = {
         ("MALFORMED_JSON",),
         (("<root>", "json"),),
         payload="substr(json, 1, length(json) - 40)",
+        lost=True,
     ),
     1: Fault(
         ("MISSING_SCHEMA_VERSION",), (("<root>", "required"),), {"schema_version": "NULL"}
@@ -164,7 +167,7 @@ FAULTS = {
         {"tensile_strength_mpa": "NULL"},
         payload="replace(json, '\"measurements\":{', '\"measurements\":{\"tensile_strength_mpa\":\"n/a\",')",
     ),
-    27: Fault(("MALFORMED_JSON",), (("<root>", "type"),), payload="'42'"),
+    27: Fault(("MALFORMED_JSON",), (("<root>", "type"),), payload="'42'", lost=True),
     28: Fault(
         (
             "MISSING_SCHEMA_VERSION",
@@ -186,6 +189,7 @@ FAULTS = {
         ),
         (("<root>", "required"),) * 6,
         payload="'{}'",
+        lost=True,
     ),
     # Accepted by the rules, refused by the contract.
     29: Fault((), (("<root>", "json"),), payload="concat(json, ' trailing')"),
@@ -205,7 +209,7 @@ FAULTS = {
     34: Fault(
         (),
         (("occurred_at", "format"),),
-        {"occurred_at": "substr(cast(l_shipdate AS varchar(30)), 1, 10)"},
+        {"occurred_at": "substr(cast(l_shipdate AS string), 1, 10)"},
     ),
     35: Fault(
         (), ((f"{MATERIAL}.composition.0", "required"),), {"first_mass": "NULL"}
@@ -218,7 +222,7 @@ FAULTS = {
     ),
     # Spaces only: never becomes a raw row. A tab does, and is malformed.
     37: Fault((), (), payload="'   '"),
-    38: Fault(("MALFORMED_JSON",), (("<root>", "json"),), payload="'\t'"),
+    38: Fault(("MALFORMED_JSON",), (("<root>", "json"),), payload="'\t'", lost=True),
 }
 
 # The line item an event came from; kept beside the payload for comparisons.
