@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows are routed into two partitions (valid or not). Up to this many open
-# writers per task, Spark writes them without first sorting the rows.
-ROUTING_WRITERS = 4
-
-
 def local_session(app: str, cores: str | int = "*", partitions: int = 8, **conf) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -28,6 +25,17 @@ def local_session(app: str, cores: str | int = "*", partitions: int = 8, **conf)
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a session setting for a while."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from assaymill.plans.candidates import material_candidates
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
 from assaymill.schemas import VALIDATED_COLUMNS
+from assaymill.session import setting
 from assaymill.sources.files import stream_raw
 from assaymill.sources.tables import read_table, stream_table
 
@@ -40,6 +41,12 @@ COMMENTS = {
 }
 
 
+# A task writes at most two partitions, one per verdict. With that many writers open
+# Spark does not sort whole rows by verdict first.
+CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_WRITERS = 2
+
+
 @dataclass(frozen=True)
 class Layers:
     """Where the tables live: a database, and a folder every executor can reach.
@@ -89,17 +96,18 @@ def append(
     rows: DataFrame, layers: Layers, name: str, partition_by: tuple[str, ...] = ()
 ) -> StreamingQuery:
     """Append a stream's available rows to a table, exactly once."""
-    query = (
-        rows.writeStream.format(layers.table_format)
-        .outputMode("append")
-        .partitionBy(*partition_by)
-        .option("path", layers.location(name))
-        .option("checkpointLocation", layers.checkpoint(name))
-        .trigger(availableNow=True)
-        .toTable(layers.table(name))
-    )
-    query.awaitTermination()
     spark = rows.sparkSession
+    with setting(spark, CONCURRENT_WRITERS, str(OPEN_WRITERS)):
+        query = (
+            rows.writeStream.format(layers.table_format)
+            .outputMode("append")
+            .partitionBy(*partition_by)
+            .option("path", layers.location(name))
+            .option("checkpointLocation", layers.checkpoint(name))
+            .trigger(availableNow=True)
+            .toTable(layers.table(name))
+        )
+        query.awaitTermination()
     spark.catalog.refreshTable(layers.table(name))
     _comment(spark, layers, name)
     return query

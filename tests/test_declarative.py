@@ -1,0 +1,65 @@
+import uuid
+
+import pytest
+from pyspark.pipelines.graph_element_registry import (
+    GraphElementRegistry,
+    graph_element_registration_context,
+)
+
+from assaymill.plans.candidates import material_candidates
+from assaymill.plans.experiments import valid_events, validated_events
+from assaymill.sources.files import read_raw
+from assaymill.streaming.declarative import SLICES, SOURCE_PATH, SUMMARY, declare
+from assaymill.streaming.layers import CANDIDATES, COMMENTS, QUARANTINED, RAW, VALID, VALIDATED
+
+
+class Declared(GraphElementRegistry):
+    def __init__(self):
+        self.outputs, self.flows = {}, {}
+
+    def register_output(self, output):
+        self.outputs[output.name] = output
+
+    def register_flow(self, flow):
+        self.flows[flow.target] = flow
+
+    def register_sql(self, sql_text, file_path):
+        raise AssertionError("no SQL files")
+
+
+@pytest.fixture
+def declared(spark, event_file):
+    spark.conf.set(SOURCE_PATH, str(event_file.parent))
+    registry = Declared()
+    with graph_element_registration_context(registry):
+        declare(spark)
+    return registry
+
+
+def test_all_layers_are_declared(declared):
+    names = {RAW, VALIDATED, VALID, QUARANTINED, CANDIDATES, SUMMARY, SLICES}
+    assert set(declared.outputs) == set(declared.flows) == names
+    for name, comment in COMMENTS.items():
+        assert declared.outputs[name].comment == comment
+
+
+def test_the_declared_queries_lead_to_the_candidates(spark, declared, event_file, tmp_path):
+    """Fill the tables in order, as the runner does over a server this test does not start."""
+    (event_file.parent / "bad.jsonl").write_text("{\n")
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        for name in (RAW, VALIDATED, VALID, QUARANTINED, SUMMARY, SLICES, CANDIDATES):
+            rows = declared.flows[name].func()
+            if rows.isStreaming:
+                writer = rows.writeStream.option("checkpointLocation", str(tmp_path / name))
+                writer.trigger(availableNow=True).toTable(name).awaitTermination()
+            else:
+                rows.write.saveAsTable(name)
+        assert spark.table(VALID).count() == 3 and spark.table(QUARANTINED).count() == 1
+        batch = valid_events(validated_events(read_raw(spark, event_file)))
+        expected = sorted(map(tuple, material_candidates(batch).collect()))
+        assert sorted(map(tuple, spark.table(CANDIDATES).collect())) == expected
+    finally:
+        spark.catalog.setCurrentDatabase("default")
