@@ -42,9 +42,16 @@ def rank_sliced(df: DataFrame, group: str, order: Sequence[Column], into: str) -
     offsets = (
         df.groupBy(group, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(group, "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(
+            F.col(group).alias("_group"),
+            F.col("_slice").alias("_group_slice"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        )
+    )
+    same_slice = F.col(group).eqNullSafe(F.col("_group")) & (
+        F.col("_slice") == F.col("_group_slice")
     )
     place = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
     position = (F.col("_before") + F.col("_place")).cast("int").alias(into)
     kept = [c for c in df.columns if c != "_slice"]
-    return df.withColumn("_place", place).join(offsets, [group, "_slice"]).select(*kept, position)
+    return df.withColumn("_place", place).join(offsets, same_slice).select(*kept, position)

@@ -60,7 +60,9 @@ def score(
     broadcast it; past that the join is a sort-merge join, in which adaptive
     execution splits the partition of an oversized group.
     """
-    scaled = df.join(limits, group).select(
+    # Null-safe, so that rows without a group are a group, as they are in ``bounds``.
+    limits = limits.withColumnRenamed(group, "_group")
+    scaled = df.join(limits, F.col(group).eqNullSafe(F.col("_group"))).select(
         *df.columns,
         *(
             min_max_scaled(F.col(c.column), F.col(c.low), F.col(c.high), c.higher_is_better).alias(

@@ -627,9 +627,13 @@ _ALTERED = "CASE WHEN candidate_rank = 1 THEN candidate_score + 1 ELSE candidate
         SELECT program_id, material_id, candidate_rank, {_ALTERED} AS candidate_score FROM ranked
     ),
     actual AS (SELECT program_id, material_id, candidate_rank, candidate_score FROM ranked)
-    SELECT *, 'missing' AS side FROM (SELECT * FROM expected EXCEPT ALL SELECT * FROM actual)
-    UNION ALL
-    SELECT *, 'unexpected' AS side FROM (SELECT * FROM actual EXCEPT ALL SELECT * FROM expected)
+    SELECT *, CAST(count(*) AS BIGINT) AS copies FROM (
+        SELECT *, 'missing' AS side
+        FROM (SELECT * FROM expected EXCEPT ALL SELECT * FROM actual)
+        UNION ALL
+        SELECT *, 'unexpected' AS side
+        FROM (SELECT * FROM actual EXCEPT ALL SELECT * FROM expected)
+    ) GROUP BY ALL
 """)
 def ranking_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking against a copy in which every winner's score is off."""
@@ -638,6 +642,26 @@ def ranking_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.diff(expected, actual)
 
 
+@query(f"""
+    WITH {VALIDATED_SQL},
+    expected AS (
+        SELECT program_id, material_id, lab_id FROM valid
+        UNION ALL SELECT program_id, material_id, lab_id FROM valid WHERE l_linenumber = 1
+    ),
+    actual AS (SELECT program_id, material_id, lab_id FROM valid)
+    SELECT *, 'missing' AS side, CAST(count(*) AS BIGINT) AS copies
+    FROM (SELECT * FROM expected EXCEPT ALL SELECT * FROM actual) GROUP BY ALL
+""")
+def event_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with copies against an expectation that has some of them once more."""
+    columns = ("l_linenumber", "program_id", "material_id", "lab_id")
+    events = materialise(valid(spark, sf_dir).select(*columns))
+    again = events.filter("l_linenumber = 1")
+    return reconcile.diff(
+        events.unionByName(again).drop("l_linenumber"), events.drop("l_linenumber")
+    )
+
+
 @query(f"""
     WITH {RANKED_SQL}
     SELECT program_id, material_id, candidate_rank, candidate_score FROM ranked

@@ -174,7 +174,7 @@ def test_slices_number_like_one_window(spark):
     dice = random.Random(3)
     rows = [
         # One group has two thirds of the rows, most of them with the same score.
-        ("hot" if i % 3 else f"g{i % 5}", 1.0 if dice.random() < 0.8 else dice.random(), f"id{i}")
+        ("hot" if i % 3 else None if i % 2 else f"g{i % 5}", 1.0 if dice.random() < 0.8 else dice.random(), f"id{i}")
         for i in range(4000)
     ]
     df = spark.createDataFrame(rows, "g string, score double, id string").repartition(5)
@@ -182,4 +182,11 @@ def test_slices_number_like_one_window(spark):
     whole = rank_within(df, "g", order, "n")
     cut = rank_within_slices(df, "g", order, "n")
     assert whole.columns == cut.columns and whole.dtypes == cut.dtypes
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_rows_without_a_program_are_a_program(events):
+    anonymous = events.withColumn("program_id", F.lit(None).cast("string"))
+    for rows_per_task in (10, 0):
+        rows = material_candidates(anonymous, rows_per_task=rows_per_task).collect()
+        assert sorted(r.candidate_rank for r in rows) == [1, 2, 3]

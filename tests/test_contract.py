@@ -1,6 +1,7 @@
 import pytest
 
 from assaymill.operators.contract import ROOT, contract_violations, report
+from assaymill.session import setting
 from conftest import EVENTS, Dropped, changed, text
 
 MATERIAL = "experiment.material"
@@ -103,6 +104,12 @@ def test_every_constraint(raw):
         assert ours == expected, (path, value)
 
 
+def test_every_constraint_without_ansi(spark, raw):
+    payloads = [changed(path, value) for path, value, _ in CHANGES]
+    with setting(spark, "spark.sql.ansi.enabled", "false"):
+        assert found(raw, *payloads) == [expected for _, _, expected in CHANGES]
+
+
 def test_what_the_contract_allows(raw):
     payloads = [changed(path, value) for path, value in ALLOWED]
     for change, ours in zip(ALLOWED, found(raw, *payloads), strict=True):

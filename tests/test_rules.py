@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
 from assaymill.schemas import VALIDATED_COLUMNS
+from assaymill.session import setting
 from conftest import EVENTS, Dropped, changed, text
 
 EXPERIMENT = "experiment."
@@ -90,6 +91,13 @@ def test_each_rule_reports_its_code(raw):
     assert found == [BROKEN[i][2] for i in order]
 
 
+def test_verdicts_without_ansi(spark, raw):
+    payloads = [*(changed(p, v) for p, v, _ in BROKEN), *(changed(p, v) for p, v in ACCEPTED)]
+    with setting(spark, "spark.sql.ansi.enabled", "false"):
+        lenient = codes(raw, *payloads, *MALFORMED)
+    assert lenient == codes(raw, *payloads, *MALFORMED)
+
+
 def test_what_the_rules_accept(raw):
     assert codes(raw, *(changed(p, v) for p, v in ACCEPTED)) == [[]] * len(ACCEPTED)
 
