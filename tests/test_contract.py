@@ -1,6 +1,20 @@
+import copy
+import random
+import re
+
 import pytest
 
-from assaymill.operators.contract import ROOT, contract_violations, report
+from assaymill.operators.contract import (
+    DATE_TIME_FORM,
+    EXPERIMENT_CONTRACT,
+    ROOT,
+    UUID_FORM,
+    Items,
+    Object,
+    Text,
+    contract_violations,
+    report,
+)
 from assaymill.session import setting
 from conftest import EVENTS, Dropped, changed, text
 
@@ -162,4 +176,76 @@ def test_messages_and_report(raw):
 
 def test_the_payload_is_parsed_once(raw):
     plan = contract_violations(raw(*EVENTS))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson(") == 1
+    assert plan.count("parseJson(") == 1 and plan.count("from_json(") == 1
+
+
+def by_hand(spec, value, path=()):
+    """The same checks in plain Python, one document at a time."""
+    place = ".".join(path) or ROOT
+    if isinstance(spec, Object):
+        if not isinstance(value, dict):
+            return [(place, "type")]
+        result = [(place, "additionalProperties")] * bool(set(value) - set(spec.fields))
+        result += [(place, "required")] * len(set(spec.fields) - set(value))
+        for key in sorted(set(spec.fields) & set(value)):
+            result += by_hand(spec.fields[key], value[key], (*path, key))
+        return result
+    if isinstance(spec, Items):
+        if not isinstance(value, list):
+            return [(place, "type")]
+        result = [(place, "minItems")] * (len(value) < spec.min_items)
+        for i, item in enumerate(value):
+            result += by_hand(spec.item, item, (*path, str(i)))
+        return result
+    result = []
+    if isinstance(spec, Text):
+        if not isinstance(value, str):
+            return [(place, "type")] + [(place, "const")] * (spec.const is not None)
+        if spec.const is not None and value != spec.const:
+            result.append((place, "const"))
+        if spec.min_length is not None and len(value) < spec.min_length:
+            result.append((place, "minLength"))
+        if spec.form == "uuid" and not re.fullmatch(UUID_FORM, value):
+            result.append((place, "format"))
+        if spec.form == "date-time" and not re.fullmatch(DATE_TIME_FORM, value):
+            result.append((place, "format"))
+        return result
+    if isinstance(value, bool) or not isinstance(value, int | float):
+        return [(place, "type")]
+    if spec.minimum is not None and value < spec.minimum:
+        result.append((place, "minimum"))
+    if spec.above is not None and value <= spec.above:
+        result.append((place, "exclusiveMinimum"))
+    if spec.maximum is not None and value > spec.maximum:
+        result.append((place, "maximum"))
+    return result
+
+
+def test_random_documents_against_checks_by_hand(raw):
+    dice = random.Random(11)
+    values = [None, True, 0, -1, 0.5, 100, 1e20, -273.15, "", " ", "x", "1.0.0", "5", {}, []]
+    values += [{"component": "x", "mass_percent": 1}, [{"component": "x"}], [None], ["a", 1]]
+
+    def spoil(node):
+        """Change something at a random depth."""
+        keys = list(node) if isinstance(node, dict) else range(len(node))
+        key = dice.choice(list(keys)) if keys else None
+        if key is not None and isinstance(node[key], dict | list) and dice.random() < 0.7:
+            spoil(node[key])
+        elif isinstance(node, list):
+            node.append(copy.deepcopy(dice.choice(values)))
+        elif key is None or dice.random() < 0.2:
+            node[f"extra{dice.randrange(3)}"] = copy.deepcopy(dice.choice(values))
+        elif dice.random() < 0.3:
+            del node[key]
+        else:
+            node[key] = copy.deepcopy(dice.choice(values))
+
+    documents = []
+    for _ in range(400):
+        document = copy.deepcopy(dice.choice(EVENTS))
+        for _ in range(dice.randrange(4)):
+            spoil(document)
+        documents.append(document)
+    for document, ours in zip(documents, found(raw, *documents), strict=True):
+        assert ours == by_hand(EXPERIMENT_CONTRACT, document), document
