@@ -250,7 +250,11 @@ def payload_sql() -> str:
 
 def event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with all event columns. Only what the events use is read."""
-    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_returnflag"))
+    lineitem = spread(
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_returnflag"),
+        "l_orderkey",
+        "l_linenumber",
+    )
     part = spark.read.parquet(f"{sf_dir}/part.parquet").drop("p_name")
     joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
     keyed = joined.selectExpr("*", f"{FAULT} AS fault", f"{BASE['event_key']} AS event_key")

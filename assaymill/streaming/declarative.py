@@ -23,11 +23,21 @@ from assaymill.plans.candidates import (
     material_summary,
     scored_candidates,
 )
-from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
+from assaymill.plans.experiments import validated_events
 from assaymill.schemas import CANDIDATE_COLUMNS
 from assaymill.sources.files import stream_raw
 from assaymill.sources.tables import read_table, stream_table
-from assaymill.streaming.layers import CANDIDATES, COMMENTS, QUARANTINED, RAW, VALID, VALIDATED
+from assaymill.streaming.layers import (
+    CANDIDATES,
+    COMMENTS,
+    QUARANTINED,
+    RAW,
+    VALID,
+    VALIDATED,
+    VERDICT,
+    of_verdict,
+    with_verdict,
+)
 
 # Fixed value: the setting that names the folder where event files arrive.
 SOURCE_PATH = "materials.source_path"
@@ -47,17 +57,17 @@ def declare(spark: SparkSession, source: str | None = None) -> None:
     def raw():
         return stream_raw(spark, folder)
 
-    @dp.table(**layer(VALIDATED, partition_cols=["is_valid"]))
+    @dp.table(**layer(VALIDATED, partition_cols=[VERDICT]))
     def validated():
-        return validated_events(stream_table(spark, RAW))
+        return with_verdict(validated_events(stream_table(spark, RAW)))
 
     @dp.table(**layer(VALID))
     def valid():
-        return valid_events(stream_table(spark, VALIDATED))
+        return of_verdict(stream_table(spark, VALIDATED), VALID)
 
     @dp.table(**layer(QUARANTINED))
     def quarantined():
-        return quarantined_events(stream_table(spark, VALIDATED))
+        return of_verdict(stream_table(spark, VALIDATED), QUARANTINED)
 
     # Query functions may not run jobs, so what the batch plan checkpoints is a
     # table of its own here: the summary, which scoring reads twice, and the

@@ -2,7 +2,7 @@
 
     files -> raw -> validated -> valid and quarantined -> candidates
 
-``validated`` is written once, partitioned by verdict, by an ordinary
+``validated`` is written once, partitioned by ``verdict``, by an ordinary
 exactly-once stream. The valid and the quarantined layer are views that read one
 partition each, so an event is parsed once and stored once. Where a consumer has to
 stream from one of the two, ``split="tables"`` writes them out as tables.
@@ -15,10 +15,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assaymill.plans.candidates import material_candidates
-from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
+from assaymill.plans.experiments import validated_events
 from assaymill.schemas import VALIDATED_COLUMNS
 from assaymill.session import setting
 from assaymill.sources.files import stream_raw
@@ -32,6 +33,8 @@ QUARANTINED = "quarantined_experiment_events"
 CANDIDATES = "gold_material_candidates"
 # --- end of fixed values ---
 
+VERDICT = "verdict"
+
 COMMENTS = {
     RAW: "Experiment event lines as received, with origin and fingerprint.",
     VALIDATED: "Parsed experiment events with the verdict on each.",
@@ -79,61 +82,87 @@ def run_available(
     """Bring every layer up to date with the files in ``source``, then stop.
 
     A second run takes up where the last one ended, also after a failure.
-    ``options`` go to the file source, see ``stream_raw``; ``scoring`` goes to
-    ``material_candidates``.
+    ``options`` go to the file source, see ``stream_raw``; the size of a batch among them
+    holds for the later streams too. ``scoring`` goes to ``material_candidates``.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layers.database}")
+    batch_size = {k: v for k, v in options.items() if k.lower().endswith("pertrigger")}
+    create_database(spark, layers)
     append(stream_raw(spark, source, **options), layers, RAW)
-    validate(spark, layers)
+    validate(spark, layers, **batch_size)
     if split == "views":
         publish_views(spark, layers)
     else:
-        publish_tables(spark, layers)
+        publish_tables(spark, layers, **batch_size)
     refresh_candidates(spark, layers, **(scoring or {}))
 
 
+def create_database(spark: SparkSession, layers: Layers) -> None:
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {layers.database} LOCATION '{layers.root}/database'"
+    )
+
+
 def append(
     rows: DataFrame, layers: Layers, name: str, partition_by: tuple[str, ...] = ()
 ) -> StreamingQuery:
     """Append a stream's available rows to a table, exactly once."""
     spark = rows.sparkSession
+    partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {layers.table(name)} ({rows.schema.toDDL()})"
+        f" USING {layers.table_format} {partitioned}"
+        f" LOCATION '{layers.location(name)}' COMMENT '{COMMENTS[name]}'"
+    )
     with setting(spark, CONCURRENT_WRITERS, str(OPEN_WRITERS)):
         query = (
             rows.writeStream.format(layers.table_format)
             .outputMode("append")
             .partitionBy(*partition_by)
-            .option("path", layers.location(name))
             .option("checkpointLocation", layers.checkpoint(name))
             .trigger(availableNow=True)
             .toTable(layers.table(name))
         )
         query.awaitTermination()
     spark.catalog.refreshTable(layers.table(name))
-    _comment(spark, layers, name)
     return query
 
 
 def validate(spark: SparkSession, layers: Layers, **options) -> StreamingQuery:
     """Parse and check the raw rows that are new."""
     raw = stream_table(spark, layers.table(RAW), **options)
-    return append(validated_events(raw), layers, VALIDATED, partition_by=("is_valid",))
+    return append(with_verdict(validated_events(raw)), layers, VALIDATED, (VERDICT,))
+
+
+def with_verdict(validated: DataFrame) -> DataFrame:
+    """Add the partition column: which of the two layers a row belongs to.
+
+    Not ``is_valid`` itself: read back from folder names by a new catalog, a
+    boolean partition column would be a string.
+    """
+    layer = F.when(F.col("is_valid"), VALID).otherwise(QUARANTINED)
+    return validated.withColumn(VERDICT, layer)
+
+
+def of_verdict(validated: DataFrame, name: str) -> DataFrame:
+    """The rows of one layer; reads its partition only."""
+    return validated.filter(F.col(VERDICT) == name).select(*VALIDATED_COLUMNS)
 
 
 def publish_views(spark: SparkSession, layers: Layers) -> None:
     """The valid and the quarantined layer, each a view on its partition."""
     columns = ", ".join(VALIDATED_COLUMNS)
-    for name, verdict in ((VALID, "is_valid"), (QUARANTINED, "NOT is_valid")):
+    for name in (VALID, QUARANTINED):
         spark.sql(
             f"CREATE OR REPLACE VIEW {layers.table(name)} COMMENT '{COMMENTS[name]}' AS"
-            f" SELECT {columns} FROM {layers.table(VALIDATED)} WHERE {verdict}"
+            f" SELECT {columns} FROM {layers.table(VALIDATED)} WHERE {VERDICT} = '{name}'"
         )
 
 
-def publish_tables(spark: SparkSession, layers: Layers) -> None:
+def publish_tables(spark: SparkSession, layers: Layers, **options) -> None:
     """The valid and the quarantined layer as tables that can be streamed on."""
-    for name, keep in ((VALID, valid_events), (QUARANTINED, quarantined_events)):
-        rows = keep(stream_table(spark, layers.table(VALIDATED)))
-        append(rows.select(*VALIDATED_COLUMNS), layers, name)
+    for name in (VALID, QUARANTINED):
+        validated = stream_table(spark, layers.table(VALIDATED), **options)
+        append(of_verdict(validated, name), layers, name)
 
 
 def refresh_candidates(spark: SparkSession, layers: Layers, **scoring) -> None:
@@ -150,10 +179,9 @@ def refresh_candidates(spark: SparkSession, layers: Layers, **scoring) -> None:
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version}'")
-        _comment(spark, layers, CANDIDATES)
+        spark.sql(
+            f"CREATE TABLE {table} ({candidates.schema.toDDL()}) USING parquet"
+            f" LOCATION '{version}' COMMENT '{COMMENTS[CANDIDATES]}'"
+        )
     spark.catalog.refreshTable(table)
 
-
-def _comment(spark: SparkSession, layers: Layers, name: str) -> None:
-    spark.sql(f"COMMENT ON TABLE {layers.table(name)} IS '{COMMENTS[name]}'")

@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 
@@ -82,15 +83,35 @@ def test_a_file_that_grows_is_not_read_again(spark, folder, layers, event_file):
 def test_a_lost_step_is_made_up_for(spark, folder, layers):
     """The raw layer ran, the rest did not, as after a failure in between."""
     from assaymill.sources.files import stream_raw
-    from assaymill.streaming.layers import append
+    from assaymill.streaming.layers import append, create_database
 
-    spark.sql(f"CREATE DATABASE {layers.database}")
+    create_database(spark, layers)
     append(stream_raw(spark, str(folder)), layers, RAW)
     validate(spark, layers)
     run_available(spark, str(folder), layers)
     assert counts(spark, layers) == [5, 5, 3, 2, 3]
 
 
+def test_a_backlog_is_taken_in_batches(spark, folder, layers):
+    for i in range(3):
+        (folder / f"more{i}.jsonl").write_text(text(EVENTS[i]) + "\n")
+    run_available(spark, str(folder), layers, split="tables", maxFilesPerTrigger=1)
+    assert counts(spark, layers) == [8, 8, 6, 2, 3]
+    for name in (RAW, VALIDATED, VALID, QUARANTINED):
+        commits = [p.name for p in Path(layers.checkpoint(name), "commits").glob("[0-9]*")]
+        assert len(commits) >= 5, name
+
+
+def test_a_new_catalog_takes_up_the_tables(spark, folder, layers):
+    """As after a restart with a catalog that lives in the session."""
+    run_available(spark, str(folder), layers)
+    spark.sql(f"DROP DATABASE {layers.database} CASCADE")
+    (folder / "later.jsonl").write_text(text(EVENTS[0]) + "\n")
+    run_available(spark, str(folder), layers)
+    assert counts(spark, layers) == [6, 6, 4, 2, 3]
+    assert dict(spark.read.table(layers.table(VALID)).dtypes)["is_valid"] == "boolean"
+
+
 def test_comments(spark, folder, layers):
     run_available(spark, str(folder), layers)
     for name, comment in COMMENTS.items():
@@ -101,7 +122,7 @@ def test_verdict_prunes_the_other_partition(spark, folder, layers):
     run_available(spark, str(folder), layers)
     valid = spark.read.table(layers.table(VALID)).select("event_id")
     plan = valid._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(is_valid" in plan
+    assert "PartitionFilters: [isnotnull(verdict" in plan
     assert "ReadSchema: struct<event_id:string>" in plan
 
 
