@@ -74,6 +74,9 @@ MATERIAL = "experiment.material"
 CONDITIONS = "experiment.process_conditions"
 MEASURED = "experiment.measurements"
 
+# Lines without any JSON.
+BLANK = ("'   '", "'\t'")
+
 FAULTS = {
     0: Fault(
         ("MALFORMED_JSON",),
@@ -221,8 +224,8 @@ FAULTS = {
         payload="replace(json, '\"lab_id\":\"17\"', '\"lab_id\":17')",
     ),
     # Spaces only: never becomes a raw row. A tab does, and is malformed.
-    37: Fault((), (), payload="'   '"),
-    38: Fault(("MALFORMED_JSON",), (("<root>", "json"),), payload="'\t'", lost=True),
+    37: Fault((), (), payload=BLANK[0]),
+    38: Fault(("MALFORMED_JSON",), (("<root>", "json"),), payload=BLANK[1], lost=True),
 }
 
 # The line item an event came from; kept beside the payload for comparisons.

@@ -22,6 +22,7 @@ from assaymill.plans import candidates as gold
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
 from assaymill.plans.lineitem_events import (
     BASE,
+    BLANK,
     FAULT,
     FAULTS,
     SOURCE_KEYS,
@@ -119,7 +120,10 @@ def _numbers(wanted: Callable[[int], bool]) -> str:
 
 
 LOST = _numbers(lambda n: FAULTS[n].lost)
-BLANK_LINE, TAB_LINE = 37, 38
+
+# The text of a line as far as telling blank lines takes it: all of a line without
+# any JSON, else its first character.
+LINE = _by_fault(lambda n: FAULTS[n].payload if FAULTS[n].payload in BLANK else None, "'{'")
 
 # Line items as the raw layer holds them: without the lines that are blank.
 RAW_SQL = f"""
@@ -129,9 +133,10 @@ RAW_SQL = f"""
     ),
     raw AS (
         SELECT {", ".join(SOURCE_KEYS)}, fault,
-            {", ".join(f"{column_sql(c)} AS {c}" for c in BASE if c != "event_key")}
+            {", ".join(f"{column_sql(c)} AS {c}" for c in BASE if c != "event_key")},
+            {LINE} AS line
         FROM keyed
-        WHERE fault <> {BLANK_LINE}
+        WHERE length(trim({LINE})) > 0
     )
 """
 
@@ -141,7 +146,7 @@ _PARSED = [c for c in BASE if c not in ("event_key", "first_mass", "second_mass"
 VALIDATED_SQL = f"""
     {RAW_SQL},
     validated AS (
-        SELECT {", ".join(SOURCE_KEYS)}, fault,
+        SELECT {", ".join(SOURCE_KEYS)}, fault, line,
             {", ".join(f"CASE WHEN fault NOT IN ({LOST}) THEN {c} END AS {c}" for c in _PARSED)},
             CASE WHEN fault NOT IN ({LOST}, 8, 9)
                 THEN CAST(epoch(l_shipdate) AS BIGINT) END AS occurred_epoch,
@@ -208,7 +213,7 @@ def _ranked_sql(weights: tuple[float, float, float]) -> str:
         scored AS (
             SELECT *, round(
                 strength_score * {strength} + conductivity_score * {conductivity}
-                + density_score * {density}, 4) AS candidate_score
+                + density_score * {density}, 4) + 0::DOUBLE AS candidate_score
             FROM scaled
         ),
         ranked AS (
@@ -283,7 +288,7 @@ _TYPED = (
 @query(f"""
     WITH {VALIDATED_SQL}
     SELECT {", ".join(_TYPED_TEXT + _TYPED)}
-    FROM validated WHERE fault <> {TAB_LINE}
+    FROM validated WHERE regexp_matches(line, '[^ \t]')
 """)
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed read of JSON lines: bad lines as rows of NULLs, bad values as NULL."""
