@@ -21,6 +21,14 @@ STRENGTH = "average_tensile_strength_mpa"
 CONDUCTIVITY = "average_conductivity_s_per_m"
 DENSITY = "average_density_g_per_cm3"
 
+SUMMARISED = (
+    *GROUPS,
+    "experiment_id",
+    "tensile_strength_mpa",
+    "conductivity_s_per_m",
+    "density_g_per_cm3",
+)
+
 # Candidates of one program that one task sorts; larger programs are sliced.
 ROWS_PER_TASK = 1_000_000
 
@@ -28,9 +36,15 @@ ROWS_PER_TASK = 1_000_000
 BROADCAST_PROGRAMS = 100_000
 
 
-def event_order() -> list[Column]:
-    """Which copy of an event is kept: the latest, then the last one read."""
-    return [F.desc("occurred_at"), F.desc("ingested_at"), F.asc("payload_sha256")]
+def event_order(columns: Sequence[str]) -> list[Column]:
+    """Which copy of an event is kept: the latest, then the last one read.
+
+    The payload's fingerprint decides between copies read together; without it, the
+    values that the summary uses do.
+    """
+    newest = [F.desc(c) for c in ("occurred_at", "ingested_at") if c in columns]
+    rest = ["payload_sha256"] if "payload_sha256" in columns else SUMMARISED
+    return [*newest, *(F.asc(c) for c in rest)]
 
 
 def candidate_order() -> list[Column]:
@@ -60,7 +74,7 @@ def material_summary(
 ) -> DataFrame:
     """Distinct events per material, averaged. One row per program, material and family."""
     return summarise(
-        latest_per_key(events, ["event_id"], order or event_order()),
+        latest_per_key(events, ["event_id"], order or event_order(events.columns)),
         GROUPS,
         [
             Measure("tensile_strength_mpa", STRENGTH, scale),

@@ -60,11 +60,12 @@ class Fault:
 
     ``changes`` replace base columns (SQL, NULL drops the key), ``payload``
     rewrites the finished JSON text, called ``json`` in it. ``lost`` says that
-    no field survives the parse.
+    no field survives the parse. ``violations`` are path, rule and message, with
+    event columns in braces.
     """
 
     codes: tuple[str, ...] = ()
-    violations: tuple[tuple[str, str], ...] = ()
+    violations: tuple[tuple[str, str, str], ...] = ()
     changes: Mapping[str, str] = field(default_factory=dict)
     payload: str | None = None
     lost: bool = False
@@ -74,48 +75,60 @@ MATERIAL = "experiment.material"
 CONDITIONS = "experiment.process_conditions"
 MEASURED = "experiment.measurements"
 
+
+def _absent(path: str, *keys: str) -> tuple[tuple[str, str, str], ...]:
+    return tuple((path, "required", f"'{key}' is a required property") for key in keys)
+
+
+NOT_JSON = ("<root>", "json", "not exactly one JSON document")
+COLD = (
+    f"{CONDITIONS}.temperature_c",
+    "minimum",
+    "-300 is less than the minimum of -273.15",
+)
+
 # Lines without any JSON.
 BLANK = ("'   '", "'\t'")
 
 FAULTS = {
     0: Fault(
         ("MALFORMED_JSON",),
-        (("<root>", "json"),),
+        (NOT_JSON,),
         payload="substr(json, 1, length(json) - 40)",
         lost=True,
     ),
     1: Fault(
-        ("MISSING_SCHEMA_VERSION",), (("<root>", "required"),), {"schema_version": "NULL"}
+        ("MISSING_SCHEMA_VERSION",), _absent("<root>", "schema_version"), {"schema_version": "NULL"}
     ),
     2: Fault(
         ("MISSING_SCHEMA_VERSION", "UNSUPPORTED_SCHEMA_VERSION"),
-        (("schema_version", "const"),),
+        (("schema_version", "const", "\"\" is not '1.0.0'"),),
         {"schema_version": "''"},
     ),
     3: Fault(
-        ("UNSUPPORTED_SCHEMA_VERSION",), (("schema_version", "const"),), {"schema_version": "'2.0.0'"}
+        ("UNSUPPORTED_SCHEMA_VERSION",), (("schema_version", "const", "\"2.0.0\" is not '1.0.0'"),), {"schema_version": "'2.0.0'"}
     ),
-    4: Fault(("MISSING_EVENT_ID",), (("<root>", "required"),), {"event_id": "NULL"}),
-    5: Fault(("MISSING_EVENT_ID",), (("event_id", "format"),), {"event_id": "'  '"}),
-    6: Fault(("MISSING_EVENT_TYPE",), (("<root>", "required"),), {"event_type": "NULL"}),
+    4: Fault(("MISSING_EVENT_ID",), _absent("<root>", "event_id"), {"event_id": "NULL"}),
+    5: Fault(("MISSING_EVENT_ID",), (("event_id", "format", "\"  \" is not a 'uuid'"),), {"event_id": "'  '"}),
+    6: Fault(("MISSING_EVENT_TYPE",), _absent("<root>", "event_type"), {"event_type": "NULL"}),
     7: Fault(
-        ("UNSUPPORTED_EVENT_TYPE",), (("event_type", "const"),), {"event_type": "'experiment.started'"}
+        ("UNSUPPORTED_EVENT_TYPE",), (("event_type", "const", "\"experiment.started\" is not 'experiment.completed'"),), {"event_type": "'experiment.started'"}
     ),
-    8: Fault(("INVALID_OCCURRED_AT",), (("<root>", "required"),), {"occurred_at": "NULL"}),
-    9: Fault(("INVALID_OCCURRED_AT",), (("occurred_at", "format"),), {"occurred_at": "'not-a-date'"}),
+    8: Fault(("INVALID_OCCURRED_AT",), _absent("<root>", "occurred_at"), {"occurred_at": "NULL"}),
+    9: Fault(("INVALID_OCCURRED_AT",), (("occurred_at", "format", "\"not-a-date\" is not a 'date-time'"),), {"occurred_at": "'not-a-date'"}),
     10: Fault(("MISSING_EXPERIMENT_ID",), (), {"experiment_id": "' '"}),
-    11: Fault(("MISSING_PROGRAM_ID",), (("experiment", "required"),), {"program_id": "NULL"}),
-    12: Fault(("MISSING_LAB_ID",), (("experiment.lab_id", "minLength"),), {"lab_id": "''"}),
-    13: Fault(("MISSING_MATERIAL_ID",), ((MATERIAL, "required"),), {"material_id": "NULL"}),
+    11: Fault(("MISSING_PROGRAM_ID",), _absent("experiment", "program_id"), {"program_id": "NULL"}),
+    12: Fault(("MISSING_LAB_ID",), (("experiment.lab_id", "minLength", "\"\" is too short"),), {"lab_id": "''"}),
+    13: Fault(("MISSING_MATERIAL_ID",), _absent(MATERIAL, "material_id"), {"material_id": "NULL"}),
     14: Fault(("MISSING_MATERIAL_FAMILY",), (), {"material_family": "' '"}),
     15: Fault(
         ("MISSING_COMPOSITION",),
-        ((MATERIAL, "required"),),
+        _absent(MATERIAL, "composition"),
         payload="regexp_replace(json, ',\"composition\":[^]]*]', '')",
     ),
     16: Fault(
         ("MISSING_COMPOSITION", "COMPOSITION_TOTAL_NOT_100"),
-        ((f"{MATERIAL}.composition", "minItems"),),
+        ((f"{MATERIAL}.composition", "minItems", "[] has too few items"),),
         payload="regexp_replace(json, '\"composition\":[^]]*]', '\"composition\":[]')",
     ),
     17: Fault(
@@ -123,39 +136,61 @@ FAULTS = {
     ),
     18: Fault(
         ("INVALID_TEMPERATURE",),
-        ((f"{CONDITIONS}.temperature_c", "minimum"),),
+        (COLD,),
         {"temperature_c": "cast(-300 AS double)"},
     ),
-    19: Fault(("INVALID_PRESSURE",), ((CONDITIONS, "required"),), {"pressure_mpa": "NULL"}),
+    19: Fault(("INVALID_PRESSURE",), _absent(CONDITIONS, "pressure_mpa"), {"pressure_mpa": "NULL"}),
     20: Fault(
         ("INVALID_PRESSURE",),
-        ((f"{CONDITIONS}.pressure_mpa", "minimum"),),
+        ((f"{CONDITIONS}.pressure_mpa", "minimum", "-1 is less than the minimum of 0"),),
         {"pressure_mpa": "cast(-1 AS double)"},
     ),
     21: Fault(
         ("INVALID_DURATION",),
-        ((f"{CONDITIONS}.duration_minutes", "exclusiveMinimum"),),
+        (
+            (
+                f"{CONDITIONS}.duration_minutes",
+                "exclusiveMinimum",
+                "0 is less than or equal to the exclusive minimum of 0",
+            ),
+        ),
         {"duration_minutes": "cast(0 AS double)"},
     ),
     22: Fault(
         ("INVALID_TENSILE_STRENGTH",),
-        ((f"{MEASURED}.tensile_strength_mpa", "minimum"),),
+        (
+            (
+                f"{MEASURED}.tensile_strength_mpa",
+                "minimum",
+                "-5 is less than the minimum of 0",
+            ),
+        ),
         {"tensile_strength_mpa": "cast(-5 AS double)"},
     ),
     23: Fault(
-        ("INVALID_CONDUCTIVITY",), ((MEASURED, "required"),), {"conductivity_s_per_m": "NULL"}
+        ("INVALID_CONDUCTIVITY",), _absent(MEASURED, "conductivity_s_per_m"), {"conductivity_s_per_m": "NULL"}
     ),
     24: Fault(
         ("INVALID_DENSITY",),
-        ((f"{MEASURED}.density_g_per_cm3", "exclusiveMinimum"),),
+        (
+            (
+                f"{MEASURED}.density_g_per_cm3",
+                "exclusiveMinimum",
+                "0 is less than or equal to the exclusive minimum of 0",
+            ),
+        ),
         {"density_g_per_cm3": "cast(0 AS double)"},
     ),
     25: Fault(
         ("MISSING_LAB_ID", "INVALID_TEMPERATURE", "INVALID_DENSITY"),
         (
-            ("experiment", "required"),
-            (f"{CONDITIONS}.temperature_c", "minimum"),
-            (f"{MEASURED}.density_g_per_cm3", "exclusiveMinimum"),
+            *_absent("experiment", "lab_id"),
+            COLD,
+            (
+                f"{MEASURED}.density_g_per_cm3",
+                "exclusiveMinimum",
+                "-1 is less than or equal to the exclusive minimum of 0",
+            ),
         ),
         {
             "lab_id": "NULL",
@@ -166,11 +201,11 @@ FAULTS = {
     # A number written as text: refused by the parse, its neighbours are kept.
     26: Fault(
         ("MALFORMED_JSON",),
-        ((f"{MEASURED}.tensile_strength_mpa", "type"),),
+        ((f"{MEASURED}.tensile_strength_mpa", "type", "\"n/a\" is not of type 'number'"),),
         {"tensile_strength_mpa": "NULL"},
         payload="replace(json, '\"measurements\":{', '\"measurements\":{\"tensile_strength_mpa\":\"n/a\",')",
     ),
-    27: Fault(("MALFORMED_JSON",), (("<root>", "type"),), payload="'42'", lost=True),
+    27: Fault(("MALFORMED_JSON",), (("<root>", "type", "42 is not of type 'object'"),), payload="'42'", lost=True),
     28: Fault(
         (
             "MISSING_SCHEMA_VERSION",
@@ -190,42 +225,58 @@ FAULTS = {
             "INVALID_CONDUCTIVITY",
             "INVALID_DENSITY",
         ),
-        (("<root>", "required"),) * 6,
+        _absent(
+            "<root>",
+            "schema_version",
+            "event_id",
+            "event_type",
+            "occurred_at",
+            "source_system",
+            "experiment",
+        ),
         payload="'{}'",
         lost=True,
     ),
     # Accepted by the rules, refused by the contract.
-    29: Fault((), (("<root>", "json"),), payload="concat(json, ' trailing')"),
+    29: Fault((), (NOT_JSON,), payload="concat(json, ' trailing')"),
     30: Fault(
-        (), (("<root>", "additionalProperties"),), payload="concat('{\"note\":1,', substr(json, 2))"
+        (), (("<root>", "additionalProperties", "Additional properties are not allowed: 'note'"),), payload="concat('{\"note\":1,', substr(json, 2))"
     ),
-    31: Fault((), (("source_system", "minLength"),), {"source_system": "''"}),
+    31: Fault((), (("source_system", "minLength", "\"\" is too short"),), {"source_system": "''"}),
     32: Fault(
         (),
         (
-            (f"{MATERIAL}.composition.0.mass_percent", "minimum"),
-            (f"{MATERIAL}.composition.1.mass_percent", "maximum"),
+            (
+                f"{MATERIAL}.composition.0.mass_percent",
+                "minimum",
+                "-20 is less than the minimum of 0",
+            ),
+            (
+                f"{MATERIAL}.composition.1.mass_percent",
+                "maximum",
+                "120 is greater than the maximum of 100",
+            ),
         ),
         {"first_mass": "cast(-20 AS double)", "second_mass": "cast(120 AS double)"},
     ),
-    33: Fault((), (("event_id", "format"),), {"event_id": "event_key"}),
+    33: Fault((), (("event_id", "format", "\"{event_id}\" is not a 'uuid'"),), {"event_id": "event_key"}),
     34: Fault(
         (),
-        (("occurred_at", "format"),),
+        (("occurred_at", "format", "\"{occurred_at}\" is not a 'date-time'"),),
         {"occurred_at": "substr(cast(l_shipdate AS string), 1, 10)"},
     ),
     35: Fault(
-        (), ((f"{MATERIAL}.composition.0", "required"),), {"first_mass": "NULL"}
+        (), _absent(f"{MATERIAL}.composition.0", "mass_percent"), {"first_mass": "NULL"}
     ),
     36: Fault(
         (),
-        (("experiment.lab_id", "type"),),
+        (("experiment.lab_id", "type", "17 is not of type 'string'"),),
         {"lab_id": "'17'"},
         payload="replace(json, '\"lab_id\":\"17\"', '\"lab_id\":17')",
     ),
     # Spaces only: never becomes a raw row. A tab does, and is malformed.
     37: Fault((), (), payload=BLANK[0]),
-    38: Fault(("MALFORMED_JSON",), (("<root>", "json"),), payload=BLANK[1], lost=True),
+    38: Fault(("MALFORMED_JSON",), (NOT_JSON,), payload=BLANK[1], lost=True),
 }
 
 # The line item an event came from; kept beside the payload for comparisons.

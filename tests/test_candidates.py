@@ -127,7 +127,7 @@ def test_the_latest_copy_is_kept(spark):
         kept = best.setdefault(row[0], row)
         if (row[1], row[2]) == (kept[1], kept[2]) and row[3] < kept[3]:
             best[row[0]] = row
-    kept = latest_per_key(events, ["event_id"], event_order())
+    kept = latest_per_key(events, ["event_id"], event_order(events.columns))
     assert sorted(map(tuple, kept.collect())) == sorted(best.values())
 
 
@@ -158,6 +158,16 @@ def test_exact_mean_falls_back_on_other_values(spark):
     assert (rows["huge"], rows["none"], rows["half"]) == (1e300, None, 3.0)
 
 
+def test_events_without_lineage(spark):
+    _, events = conflicting(spark)
+    bare = events.drop("ingested_at", "payload_sha256")
+    results = [
+        sorted(map(tuple, material_candidates(bare.repartition(n), scale=2).collect()))
+        for n in (1, 5)
+    ]
+    assert results[0] == results[1]
+
+
 def test_equal_material_in_two_families_has_a_fixed_rank(raw):
     other = changed("experiment.material.family", "a-family")
     other["event_id"] = "00000000-0000-4000-8000-000000000098"

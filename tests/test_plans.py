@@ -24,7 +24,7 @@ def stored(spark, raw, tmp_path):
 
 
 def test_copies_are_dropped_before_the_shuffle(stored):
-    plan = physical(latest_per_key(stored, ["event_id"], event_order()))
+    plan = physical(latest_per_key(stored, ["event_id"], event_order(stored.columns)))
     final, exchange, partial = (
         plan.index(part) for part in ("Final", "Exchange hashpartitioning(event_id", "Partial")
     )
