@@ -106,19 +106,35 @@ FAULTS = {
         {"schema_version": "''"},
     ),
     3: Fault(
-        ("UNSUPPORTED_SCHEMA_VERSION",), (("schema_version", "const", "\"2.0.0\" is not '1.0.0'"),), {"schema_version": "'2.0.0'"}
+        ("UNSUPPORTED_SCHEMA_VERSION",),
+        (("schema_version", "const", "\"2.0.0\" is not '1.0.0'"),),
+        {"schema_version": "'2.0.0'"},
     ),
     4: Fault(("MISSING_EVENT_ID",), _absent("<root>", "event_id"), {"event_id": "NULL"}),
-    5: Fault(("MISSING_EVENT_ID",), (("event_id", "format", "\"  \" is not a 'uuid'"),), {"event_id": "'  '"}),
+    5: Fault(
+        ("MISSING_EVENT_ID",),
+        (("event_id", "format", "\"  \" is not a 'uuid'"),),
+        {"event_id": "'  '"},
+    ),
     6: Fault(("MISSING_EVENT_TYPE",), _absent("<root>", "event_type"), {"event_type": "NULL"}),
     7: Fault(
-        ("UNSUPPORTED_EVENT_TYPE",), (("event_type", "const", "\"experiment.started\" is not 'experiment.completed'"),), {"event_type": "'experiment.started'"}
+        ("UNSUPPORTED_EVENT_TYPE",),
+        (("event_type", "const", "\"experiment.started\" is not 'experiment.completed'"),),
+        {"event_type": "'experiment.started'"},
     ),
     8: Fault(("INVALID_OCCURRED_AT",), _absent("<root>", "occurred_at"), {"occurred_at": "NULL"}),
-    9: Fault(("INVALID_OCCURRED_AT",), (("occurred_at", "format", "\"not-a-date\" is not a 'date-time'"),), {"occurred_at": "'not-a-date'"}),
+    9: Fault(
+        ("INVALID_OCCURRED_AT",),
+        (("occurred_at", "format", "\"not-a-date\" is not a 'date-time'"),),
+        {"occurred_at": "'not-a-date'"},
+    ),
     10: Fault(("MISSING_EXPERIMENT_ID",), (), {"experiment_id": "' '"}),
     11: Fault(("MISSING_PROGRAM_ID",), _absent("experiment", "program_id"), {"program_id": "NULL"}),
-    12: Fault(("MISSING_LAB_ID",), (("experiment.lab_id", "minLength", "\"\" is too short"),), {"lab_id": "''"}),
+    12: Fault(
+        ("MISSING_LAB_ID",),
+        (("experiment.lab_id", "minLength", '"" is too short'),),
+        {"lab_id": "''"},
+    ),
     13: Fault(("MISSING_MATERIAL_ID",), _absent(MATERIAL, "material_id"), {"material_id": "NULL"}),
     14: Fault(("MISSING_MATERIAL_FAMILY",), (), {"material_family": "' '"}),
     15: Fault(
@@ -132,7 +148,9 @@ FAULTS = {
         payload="regexp_replace(json, '\"composition\":[^]]*]', '\"composition\":[]')",
     ),
     17: Fault(
-        ("COMPOSITION_TOTAL_NOT_100",), (), {"first_mass": "cast(60 AS double)", "second_mass": "cast(20 AS double)"}
+        ("COMPOSITION_TOTAL_NOT_100",),
+        (),
+        {"first_mass": "cast(60 AS double)", "second_mass": "cast(20 AS double)"},
     ),
     18: Fault(
         ("INVALID_TEMPERATURE",),
@@ -168,7 +186,9 @@ FAULTS = {
         {"tensile_strength_mpa": "cast(-5 AS double)"},
     ),
     23: Fault(
-        ("INVALID_CONDUCTIVITY",), _absent(MEASURED, "conductivity_s_per_m"), {"conductivity_s_per_m": "NULL"}
+        ("INVALID_CONDUCTIVITY",),
+        _absent(MEASURED, "conductivity_s_per_m"),
+        {"conductivity_s_per_m": "NULL"},
     ),
     24: Fault(
         ("INVALID_DENSITY",),
@@ -203,9 +223,17 @@ FAULTS = {
         ("MALFORMED_JSON",),
         ((f"{MEASURED}.tensile_strength_mpa", "type", "\"n/a\" is not of type 'number'"),),
         {"tensile_strength_mpa": "NULL"},
-        payload="replace(json, '\"measurements\":{', '\"measurements\":{\"tensile_strength_mpa\":\"n/a\",')",
+        payload=(
+            "replace(json, '\"measurements\":{',"
+            " '\"measurements\":{\"tensile_strength_mpa\":\"n/a\",')"
+        ),
+    ),
+    27: Fault(
+        ("MALFORMED_JSON",),
+        (("<root>", "type", "42 is not of type 'object'"),),
+        payload="'42'",
+        lost=True,
     ),
-    27: Fault(("MALFORMED_JSON",), (("<root>", "type", "42 is not of type 'object'"),), payload="'42'", lost=True),
     28: Fault(
         (
             "MISSING_SCHEMA_VERSION",
@@ -240,7 +268,9 @@ FAULTS = {
     # Accepted by the rules, refused by the contract.
     29: Fault((), (NOT_JSON,), payload="concat(json, ' trailing')"),
     30: Fault(
-        (), (("<root>", "additionalProperties", "Additional properties are not allowed: 'note'"),), payload="concat('{\"note\":1,', substr(json, 2))"
+        (),
+        (("<root>", "additionalProperties", "Additional properties are not allowed: 'note'"),),
+        payload="concat('{\"note\":1,', substr(json, 2))",
     ),
     31: Fault((), (("source_system", "minLength", "\"\" is too short"),), {"source_system": "''"}),
     32: Fault(
@@ -259,7 +289,11 @@ FAULTS = {
         ),
         {"first_mass": "cast(-20 AS double)", "second_mass": "cast(120 AS double)"},
     ),
-    33: Fault((), (("event_id", "format", "\"{event_id}\" is not a 'uuid'"),), {"event_id": "event_key"}),
+    33: Fault(
+        (),
+        (("event_id", "format", "\"{event_id}\" is not a 'uuid'"),),
+        {"event_id": "event_key"},
+    ),
     34: Fault(
         (),
         (("occurred_at", "format", "\"{occurred_at}\" is not a 'date-time'"),),

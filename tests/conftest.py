@@ -131,7 +131,9 @@ def raw(spark):
     def build(*payloads):
         from pyspark.sql import functions as F
 
-        rows = [(p if isinstance(p, str) else text(p), f"memory://{i}") for i, p in enumerate(payloads)]
+        rows = [
+            (p if isinstance(p, str) else text(p), f"memory://{i}") for i, p in enumerate(payloads)
+        ]
         return spark.createDataFrame(rows, "raw_payload string, source_file string").select(
             "*",
             F.lit("2026-06-28 12:00:00").cast("timestamp").alias("ingested_at"),

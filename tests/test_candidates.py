@@ -184,7 +184,11 @@ def test_slices_number_like_one_window(spark):
     dice = random.Random(3)
     rows = [
         # One group has two thirds of the rows, most of them with the same score.
-        ("hot" if i % 3 else None if i % 2 else f"g{i % 5}", 1.0 if dice.random() < 0.8 else dice.random(), f"id{i}")
+        (
+            "hot" if i % 3 else None if i % 2 else f"g{i % 5}",
+            1.0 if dice.random() < 0.8 else dice.random(),
+            f"id{i}",
+        )
         for i in range(4000)
     ]
     df = spark.createDataFrame(rows, "g string, score double, id string").repartition(5)

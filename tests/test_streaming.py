@@ -144,7 +144,8 @@ def test_candidates_are_replaced_as_a_whole(spark, folder, layers):
 
     run_available(spark, str(folder), layers)
     before = spark.catalog.getTable(layers.table(CANDIDATES))
-    refresh_candidates(spark, layers, strength_weight=1.0, conductivity_weight=0.0, density_weight=0.0)
+    weights = {"strength_weight": 1.0, "conductivity_weight": 0.0, "density_weight": 0.0}
+    refresh_candidates(spark, layers, **weights)
     table = spark.read.table(layers.table(CANDIDATES))
     first = table.filter("program_id = 'LIGHTWEIGHT-ALLOYS' AND candidate_rank = 1").first()
     assert (table.count(), first.material_id) == (3, "MAT-AL-002")
