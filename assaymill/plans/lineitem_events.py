@@ -297,7 +297,7 @@ FAULTS = {
     34: Fault(
         (),
         (("occurred_at", "format", "\"{occurred_at}\" is not a 'date-time'"),),
-        {"occurred_at": "substr(cast(l_shipdate AS string), 1, 10)"},
+        {"occurred_at": "concat(cast(l_shipdate AS string), 'Z')"},
     ),
     35: Fault(
         (), _absent(f"{MATERIAL}.composition.0", "mass_percent"), {"first_mass": "NULL"}
