@@ -1,3 +1,4 @@
+import os
 import uuid
 from pathlib import Path
 
@@ -80,6 +81,15 @@ def test_a_file_that_grows_is_not_read_again(spark, folder, layers, event_file):
     assert counts(spark, layers)[0] == 5
 
 
+def test_a_late_file_with_an_old_date_is_read(spark, folder, layers):
+    run_available(spark, str(folder), layers)
+    late = folder / "late.jsonl"
+    late.write_text(text(EVENTS[0]) + "\n")
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    run_available(spark, str(folder), layers)
+    assert counts(spark, layers) == [6, 6, 4, 2, 3]
+
+
 def test_a_lost_step_is_made_up_for(spark, folder, layers):
     """The raw layer ran, the rest did not, as after a failure in between."""
     from assaymill.sources.files import stream_raw
