@@ -2,7 +2,7 @@
 
 The experiment events of these queries come from ``plans.lineitem_events``. Each
 query takes a session and the folder of the tables. ``QUERIES`` and ``SQL`` list
-them by name; a query without SQL has none that another engine could run.
+them by name.
 """
 
 from __future__ import annotations
@@ -47,11 +47,12 @@ OTHER_WEIGHTS = (0.5, -0.25, 0.75)
 TOP = 3
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str) -> Callable[[Query], Query]:
+    """Register a query under its name, with the SQL that checks it."""
+
     def register(function: Query) -> Query:
         QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        SQL[function.__name__] = sql
         return function
 
     return register
@@ -424,33 +425,44 @@ _VIOLATIONS_SQL = f"""
 """
 
 
-@query(f"""
-    WITH {RAW_SQL}, {_VIOLATIONS_SQL}
-    SELECT {", ".join(KEYS)}, field_path, rule,
-        replace(replace(template, '{{event_id}}', coalesce(event_id, '')),
-            '{{occurred_at}}', coalesce(occurred_at, '')) AS message
-    FROM raw JOIN violation USING (fault)
-""")
+_FOUND_SQL = f"""
+    {RAW_SQL}, {_VIOLATIONS_SQL},
+    found AS (
+        SELECT {", ".join(KEYS)}, field_path, rule,
+            replace(replace(template, '{{event_id}}', coalesce(event_id, '')),
+                '{{occurred_at}}', coalesce(occurred_at, '')) AS message
+        FROM raw JOIN violation USING (fault)
+    )
+"""
+
+
+@query(f"WITH {_FOUND_SQL} SELECT * FROM found")
 def contract_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every violation of every raw row."""
     return contract_violations(derived_raw(spark, sf_dir), keep=KEYS)
 
 
 @query(f"""
-    WITH {RAW_SQL}, {_VIOLATIONS_SQL}
+    WITH {_FOUND_SQL}
     SELECT field_path, rule, CAST(count(*) AS BIGINT) AS row_count
-    FROM raw JOIN violation USING (fault) GROUP BY field_path, rule
+    FROM found GROUP BY field_path, rule
 """)
 def contract_violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contract_violations(derived_raw(spark, sf_dir))
     return found.groupBy("field_path", "rule").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query()
+@query(f"""
+    WITH {_FOUND_SQL}
+    SELECT concat('field ', field_path, ': ', message) AS line, CAST(count(*) AS BIGINT) AS copies
+    FROM found GROUP BY field_path, message
+""")
 def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readable lines in order. They name payloads by a hash of JSON text that another
-    engine does not write byte for byte, so there is no SQL."""
-    return report(contract_violations(derived_raw(spark, sf_dir)))
+    """The lines of the report, without the payload's name: that is a hash of JSON text
+    which another engine does not write byte for byte."""
+    lines = report(contract_violations(derived_raw(spark, sf_dir)))
+    unnamed = F.regexp_replace("line", "^Payload [0-9a-f]{64}, ", "").alias("line")
+    return lines.groupBy(unnamed).agg(F.sum("copies").alias("copies"))
 
 
 # ------------------------------------------------------------------- candidates

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 def local_session(app: str, cores: str | int = "*", partitions: int = 8, **conf) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
@@ -60,6 +61,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a checkpoint in the shared folder."""
-    shared_root(df.sparkSession)
+    """Compute ``df`` once and cut its lineage with a checkpoint in the shared folder.
+
+    Over Connect the server has that folder and this side cannot ask for it.
+    """
+    if not is_remote():
+        shared_root(df.sparkSession)
     return df.checkpoint()

@@ -1,7 +1,10 @@
 import random
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from assaymill.functions.columns import exact_mean
@@ -204,3 +207,73 @@ def test_rows_without_a_program_are_a_program(events):
     for rows_per_task in (10, 0):
         rows = material_candidates(anonymous, rows_per_task=rows_per_task).collect()
         assert sorted(r.candidate_rank for r in rows) == [1, 2, 3]
+
+
+def by_hand(rows, weights):
+    """Candidates from events in plain Python."""
+    materials = {}
+    for event, when, _, _, experiment, program, material, family, *measures in rows:
+        materials.setdefault((program, material, family), []).append((experiment, when, measures))
+    summary = {
+        key: (
+            len({e for e, _, _ in found}),
+            [sum(Decimal(str(m[i])) for _, _, m in found) for i in range(3)],
+            len(found),
+            max(w for _, w, _ in found),
+        )
+        for key, found in materials.items()
+    }
+    result = []
+    for program in {key[0] for key in summary}:
+        scored = []
+        inside = {
+            key: (n, [float(total) / size for total in totals], latest)
+            for key, (n, totals, size, latest) in summary.items()
+            if key[0] == program
+        }
+        for key, (n, means, latest) in inside.items():
+            scores = []
+            for i, mean in enumerate(means):
+                low = min(m[i] for _, m, _ in inside.values())
+                high = max(m[i] for _, m, _ in inside.values())
+                distance = mean - low if i < 2 else high - mean
+                scores.append(1.0 if low == high else distance / (high - low))
+            total = scores[0] * weights[0] + scores[1] * weights[1] + scores[2] * weights[2]
+            rounded = float(Decimal(repr(total)).quantize(Decimal("0.0001"), ROUND_HALF_UP))
+            scored.append((-rounded, -means[0], -means[1], means[2], *key[1:], n, scores, latest))
+        for rank, (total, a, b, c, material, family, n, scores, latest) in enumerate(sorted(scored)):
+            means = (-a, -b, c)
+            result.append(
+                (program, material, family, n, *means, *scores, -total, rank + 1, latest)
+            )
+    return sorted(result)
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(data=st.data())
+def test_candidates_against_plain_python(spark, data):
+    measure = st.integers(0, 400).map(lambda n: n / 100)
+    count = data.draw(st.integers(1, 40))
+    rows = [
+        (
+            f"event-{i}",
+            datetime(2026, 1, 1 + data.draw(st.integers(0, 20))),
+            datetime(2026, 2, 1),
+            f"{i:064x}",
+            f"EXP-{data.draw(st.integers(0, 5))}",
+            f"P{data.draw(st.integers(0, 1))}",
+            f"M{data.draw(st.integers(0, 4))}",
+            f"F{data.draw(st.integers(0, 1))}",
+            *(data.draw(measure) for _ in range(3)),
+        )
+        for i in range(count)
+    ]
+    _, like = conflicting(spark)
+    events = spark.createDataFrame(rows, like.schema)
+    weights = data.draw(st.sampled_from([(0.45, 0.35, 0.2), (1.0, 0.0, 0.0), (0.5, -0.25, 0.75)]))
+    expected = by_hand(rows, weights)
+    for rows_per_task in (100, 0):
+        candidates = material_candidates(events, *weights, scale=2, rows_per_task=rows_per_task)
+        assert sorted(map(tuple, candidates.collect())) == expected
