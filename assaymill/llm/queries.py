@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assaymill.llm.common import table
+from assaymill.llm.decontaminate import decontaminate
+from assaymill.llm.near_duplicates import near_duplicates
 from assaymill.llm.quality import quality_rules
+from assaymill.llm.secret_scan import scan_secrets
+from assaymill.llm.sharding import minimax_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,3 +25,23 @@ def query(function):
 @query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minimax_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
