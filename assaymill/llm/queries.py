@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from assaymill.llm.common import table
 from assaymill.llm.decontaminate import decontaminate
 from assaymill.llm.near_duplicates import near_duplicates
+from assaymill.llm.packing import pack
 from assaymill.llm.quality import quality_rules
 from assaymill.llm.secret_scan import scan_secrets
 from assaymill.llm.sharding import minimax_shards
@@ -45,3 +46,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), tokenizer)
