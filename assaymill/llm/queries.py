@@ -11,8 +11,11 @@ from assaymill.llm.decontaminate import decontaminate
 from assaymill.llm.near_duplicates import near_duplicates
 from assaymill.llm.packing import pack
 from assaymill.llm.quality import quality_rules
+from assaymill.llm.repeats import remove_repeats
 from assaymill.llm.secret_scan import scan_secrets
 from assaymill.llm.sharding import minimax_shards
+from assaymill.llm.units import remove_repeated_units
+from assaymill.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +57,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
+@query
+def op8_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_units(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
