@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assaymill.llm.common import table
 from assaymill.llm.decontaminate import decontaminate
+from assaymill.llm.extraction import extract
 from assaymill.llm.near_duplicates import near_duplicates
 from assaymill.llm.packing import pack
 from assaymill.llm.quality import quality_rules
@@ -72,3 +73,8 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
