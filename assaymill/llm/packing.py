@@ -9,10 +9,12 @@ the emptiest sequences run dry.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,20 +28,25 @@ from assaymill.llm.common import columns, stored
 LENGTH, END = 2048, 0
 #: Pieces that one group packs, about.
 GROUP = 8192
-#: Words whose ids a task remembers, and their longest.
-REMEMBERED, LONGEST = 400_000, 48
+#: Parts of words whose ids a worker remembers, and their longest.
+REMEMBERED, LONGEST = 1_000_000, 48
 
+# The tokenizer's split of lower-case text, for the characters up to U+00FF.
+_LETTER, _DIGIT, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r" \t-\r\x85\xa0"
+_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
+#: In other text, what stands between ASCII white space; the tokenizer never looks across it.
 _WORD = re.compile(r"[^ \t-\r]+")
 
 
 class WordTokenizer:
     """Ids of texts as bytes, little-endian unsigned 32-bit, for a tokenizer that drops white space.
 
-    Such a tokenizer treats every word by itself, so words are encoded once and remembered. A text
-    that holds a special token is encoded as a whole.
+    Such a tokenizer treats every word by itself, so parts of words are encoded once and remembered.
+    Text beyond U+00FF is taken word by word, and a text that holds a special token as a whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -48,35 +55,40 @@ class WordTokenizer:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if "<|" in text and any(s in text.lower() for s in self.special):
             return self._encode([text])[0]
-        if text.isascii():
-            lower = text.lower()
-            if any(s in lower for s in self.special):
-                return self._encode([text])[0]
-            text = lower
-        words = _WORD.findall(text)
+        try:
+            text.encode("latin-1")
+            parts = _PART.findall(text.lower())
+        except UnicodeEncodeError:
+            parts = _WORD.findall(text)
         known = self.known
         try:
-            return b"".join([known[w] for w in words])
+            return b"".join([known[p] for p in parts])
         except KeyError:
             pass
         if len(known) > REMEMBERED:
             known.clear()
-        new = list({w for w in words if w not in known})
+        new = list({p for p in parts if p not in known})
         fresh = dict(zip(new, self._encode(new)))
-        known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        return b"".join([fresh[w] if w in fresh else known[w] for w in words])
+        known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
+        return b"".join([fresh[p] if p in fresh else known[p] for p in parts])
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for all tasks of a worker process."""
+    return WordTokenizer(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length`` and ``ids_crc32`` of every piece of every document."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer)
+        encode = word_tokenizer(tokenizer)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
@@ -200,7 +212,7 @@ def _packed(room: int):
         order = np.concatenate([np.array(b) for b in bins])
         number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
         out = group.iloc[order].reset_index(drop=True)
-        out["sequence_id"] = 2 * ((out["part"].astype("int64") << 32) + number)
+        out["sequence_id"] = 2 * (out["part"].astype("int64") * (1 << 32) + number)
         out["offset"] = out["length"].cumsum() - out["length"]
         out["offset"] -= out.groupby("sequence_id")["offset"].transform("min")
         return out.drop(columns="part")

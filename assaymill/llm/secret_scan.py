@@ -68,7 +68,8 @@ def matches(rows: DataFrame) -> DataFrame:
     """``id``, ``text_hash``, ``kind``, ``start``, ``stop`` and ``value`` of every match.
 
     ``rows`` has ``id``, ``text_hash`` and ``text``. A pattern splits the text into pieces and
-    matches in turn, so a running sum of their lengths gives the places.
+    matches in turn, so a running sum of their lengths gives the places. (The outer form of
+    inline, as the plain one adds a filter that runs all patterns again.)
     """
     text = F.col("text")
     parts = []
@@ -77,7 +78,7 @@ def matches(rows: DataFrame) -> DataFrame:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         parts.append(F.when(text.rlike(PATTERNS[kind]), F.transform(F.arrays_zip(pieces, found), _cell(number))))
     cells = F.array_compact(F.flatten(F.array_compact(F.array(*parts))))
-    every = rows.select("id", "text_hash", F.inline(cells)).where("value IS NOT NULL")
+    every = rows.select("id", "text_hash", F.inline_outer(cells)).where("value IS NOT NULL")
     upto = Window.partitionBy("id", "text_hash", "kind").orderBy("i")
     length = F.char_length("value")
     value = F.col("value")

@@ -1,0 +1,378 @@
+"""Packing, near-duplicates, repeats, lines, extraction and archives against brute force."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import brute
+from assaymill.llm import extraction, warc
+from assaymill.llm.components import components
+from assaymill.llm.near_duplicates import keep_one, near_duplicates, similar_pairs
+from assaymill.llm.packing import WordTokenizer, best_fit, improve, pack
+from assaymill.llm.queries import QUERIES
+from assaymill.llm.repeats import RunLengthIndex, remove_repeats, segments
+from assaymill.llm.shingles import shingle_sets, sketches
+from assaymill.llm.units import remove_repeated_units
+from cases import ODD, PROSE, SF, rows
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check_packing(docs, found, length=2048):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    expected = Counter()
+    for doc_id, text in docs:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        for piece, start in enumerate(range(0, len(ids), length)):
+            part = np.array(ids[start : start + length], dtype="<u4")
+            expected[doc_id, piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(tuple(r[n] for n in names) for r in found) == expected
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(sequences), -(-sum(r["length"] for r in found) // length)
+
+
+def test_packing_query(spark, documents):
+    used, least = check_packing(documents, QUERIES["op3_packing"](spark, SF).collect())
+    assert used <= least + 1
+
+
+def test_packing_of_odd_rows(odd, nothing):
+    docs = ODD + [(9, "<|endoftext|> A <|ENDOFTEXT|> it's"), (10, "İstanbul ΣΑΣ 12ab३")]
+    frame = odd.sparkSession.createDataFrame(docs, "doc_id bigint, text string")
+    check_packing(docs, pack(frame, TOKENIZER).collect())
+    check_packing(docs, pack(frame, TOKENIZER, 64).collect(), 64)
+    assert pack(odd, TOKENIZER).count() >= len(ODD)
+    assert pack(nothing, TOKENIZER).count() == 0
+
+
+def test_tokenizer_on_any_text():
+    draw = random.Random(3)
+    plain = Tokenizer.from_file(TOKENIZER)
+    encode = WordTokenizer(TOKENIZER)
+    letters = [chr(c) for c in range(256)] + list("'sre tvmld ") * 12
+    wide = letters + list("ŒœĐΣς\u0301\u2028\u200bａ漢字😀İı\u1e9e")
+    for n in range(1500):
+        text = "".join(draw.choices(wide if n % 3 == 0 else letters, k=draw.randint(0, 40)))
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert encode(text) == np.array(ids, dtype="<u4").tobytes(), text
+
+
+def test_local_search_improves():
+    draw = random.Random(5)
+    better = 0
+    for _ in range(30):
+        sizes = np.array([draw.randint(10, 60) for _ in range(300)])
+        first = best_fit(sizes, 100)
+        after = improve([list(b) for b in first], sizes, 100)
+        assert sorted(i for b in after for i in b) == list(range(300))
+        assert all(sum(sizes[b]) <= 100 for b in after)
+        assert len(after) <= len(first)
+        squares = [sum(int(sum(sizes[b])) ** 2 for b in bins) for bins in (first, after)]
+        assert squares[1] >= squares[0]
+        better += squares[1] > squares[0]
+    assert better
+
+
+def test_near_duplicates_query(spark, documents):
+    expected = brute.near_components(documents, 3, 85)
+    sizes = {i: len(brute.shingles(t, 3)) for i, t in documents}
+    found = {r["doc_id"]: r for r in QUERIES["op4_minhash"](spark, SF).collect()}
+    assert {i: r["component_id"] for i, r in found.items()} == expected
+    assert {i: r["n_shingles"] for i, r in found.items()} == sizes
+    assert all(r["kept"] == (i == expected[i]) for i, r in found.items())
+
+
+def test_near_duplicates_at_the_border(table):
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    docs = []
+    for base in range(12):
+        text = draw.sample(words, 120)
+        for copy in range(8):
+            own = list(text)
+            for _ in range(draw.randint(0, 5)):
+                own[draw.randrange(120)] = draw.choice(words)
+            docs.append((base * 100 + copy, " ".join(own)))
+    for k, percent in ((3, 85), (5, 80)):
+        found = {r["doc_id"]: r["component_id"] for r in near_duplicates(table(*docs), k, percent).collect()}
+        assert found == brute.near_components(docs, k, percent)
+
+
+def test_near_duplicates_in_blocks(table, monkeypatch):
+    from assaymill.llm import near_duplicates as module
+
+    monkeypatch.setattr(module, "BLOCK_TEXTS", 8)
+    draw = random.Random(4)
+    text = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(60):
+        own = list(text)
+        for _ in range(draw.randint(1, 6)):
+            own[draw.randrange(150)] = f"x{draw.randrange(999)}"
+        docs.append((i, " ".join(own)))
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(table(*docs)).collect()}
+    assert found == brute.near_components(docs, 3, 85)
+
+
+def test_near_duplicates_of_odd_rows(odd, nothing):
+    found = near_duplicates(odd).collect()
+    by_id = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
+    assert len(found) == len(ODD)
+    assert [by_id[i]["component_id"] for i in (1, 2, 3, 4, 5, 6, 7, 8)] == [1, 2, 3, 4, 5, 5, 7, 5]
+    assert all(r["component_id"] is None and r["kept"] for r in found if r["doc_id"] is None)
+    assert keep_one(odd).columns == odd.columns
+    assert sorted(r["doc_id"] or 0 for r in keep_one(odd).collect()) == [0, 0, 1, 2, 3, 4, 5, 5, 7]
+    assert near_duplicates(nothing).count() == 0
+
+
+def test_similar_pairs():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 60, 40)) for _ in range(40)]
+    expected = [
+        (i, j)
+        for i in range(40)
+        for j in range(i + 1, 40)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 50 * len(np.union1d(sets[i], sets[j]))
+    ]
+    assert [tuple(p) for p in similar_pairs(sets, 50)] == expected
+    across = [(i, j) for i, j in expected if i < 15 <= j]
+    assert [tuple(p) for p in similar_pairs(sets, 50, 15)] == across
+
+
+def test_sketches_estimate_similarity():
+    def of(*texts):
+        raw = [t.encode() for t in texts]
+        bounds = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
+        return sketches(*shingle_sets(np.frombuffer(b"".join(raw), np.uint8), bounds, 1), 512)
+
+    words = [f"w{i}" for i in range(300)]
+    full = of(" ".join(words[:200]), " ".join(words[100:]), "one", "one two", "")
+    assert (full[:4] != np.uint64(2**64 - 1)).all()
+    assert abs((full[0] == full[1]).mean() - 1 / 3) < 0.08
+    assert abs((full[2] == full[3]).mean() - 1 / 2) < 0.1
+
+
+def test_components(spark):
+    draw = random.Random(1)
+    links = [(i, i + 1) for i in range(100, 140)] + [(draw.randrange(50), draw.randrange(50)) for _ in range(30)]
+    links += [(7, 7), (None, 3)]
+    found = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    root = {x: x for p in links for x in p if None not in p}
+    for _ in range(200):
+        for a, b in links:
+            if a is not None:
+                root[a] = root[b] = min(root[a], root[b])
+    linked = {x for a, b in links if a is not None and a != b for x in (a, b)}
+    assert {r["node"]: r["component"] for r in found.collect()} == {x: root[x] for x in linked}
+
+
+def test_repeats_query(spark, documents):
+    found = QUERIES["op8_run_length_index"](spark, SF).drop("spans").collect()
+    assert sorted(tuple(r) for r in found) == sorted(brute.repeats(documents))
+
+
+def varied():
+    draw = random.Random(8)
+    base = "".join(draw.choices("abcdefgh ", k=3000))
+    docs = [(i, base[draw.randrange(1500) :][: draw.randint(100, 1500)]) for i in range(20)]
+    docs += [(20 + i, base[:700] + str(i) + base[700 + i :]) for i in range(6)]
+    docs += [(30, "ab" * 400), (31, "z" * 900), (32, "z" * 199), (33, "é" * 300), (34, "q" * 200)]
+    return docs
+
+
+@pytest.mark.parametrize("most", [16384, 2])
+def test_repeats_of_varied_texts(spark, odd, nothing, monkeypatch, most):
+    from assaymill.llm import repeats
+
+    monkeypatch.setattr(repeats, "MOST", most)
+    docs = varied() + ODD
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = remove_repeats(frame).drop("spans").collect()
+    assert Counter(tuple(r) for r in found) == Counter(brute.repeats(docs))
+    assert remove_repeats(odd).count() == len(ODD)
+    assert remove_repeats(nothing).count() == 0
+
+
+def test_run_length_index():
+    draw = random.Random(6)
+    contents = ["".join(draw.choices("ab", k=draw.randint(1, 60))).encode() for _ in range(12)]
+    index = RunLengthIndex(contents)
+    got = index.matching_statistics()
+    suffixes = [(n, i) for n, c in enumerate(contents) for i in range(len(c))]
+    for n, i in suffixes:
+        own = contents[n][i:]
+        longest = 0
+        for m, j in suffixes:
+            if (m, j) != (n, i):
+                other = contents[m][j:]
+                same = next((k for k, (x, y) in enumerate(zip(own, other)) if x != y), min(len(own), len(other)))
+                longest = max(longest, same)
+        assert got[index.starts[n] + i] == longest
+    assert len(index.heads) < len(index.text)
+
+
+def test_segments_cover_every_window():
+    text = np.frombuffer(PROSE.encode() * 3, np.uint8)
+    first, count, _ = segments(text)
+    assert first[0] == 0 and (first[1:] == (first + count)[:-1]).all()
+    assert first[-1] + count[-1] == len(text) - 199
+
+
+def test_lines_query(spark, documents):
+    found = {r["doc_id"]: r["removed_spans"] for r in QUERIES["op6_lines"](spark, SF).collect()}
+    assert found == brute.unit_spans(documents, 5)
+
+
+def test_lines_of_odd_rows(table, odd, nothing):
+    docs = [
+        (2, "A line of five words\nshort\nNext line of five words\nshort"),
+        (1, "keep me\n a LINE  of five words \nshort"),
+        (3, "a line of five words"),
+        (3, "a line of five words"),
+        (4, "twice in one text here\ntwice in one text here"),
+    ]
+    found = defaultdict(set)
+    for r in remove_repeated_units(table(*docs)).collect():
+        found[r["doc_id"]].add((r["removed_spans"], r["text"]))
+    assert found[1] == {("", docs[1][1])}
+    assert found[2] == {("0:20", "short\nNext line of five words\nshort")}
+    assert found[3] == {("0:20", "")}
+    assert found[4] == {("23:45", "twice in one text here")}
+    out = remove_repeated_units(odd).collect()
+    assert len(out) == len(ODD) and {r["text"] for r in out if r["doc_id"] == 1} == {None}
+    assert remove_repeated_units(nothing).count() == 0
+    assert remove_repeated_units(table((1, "a b c d e\n\nf\ng\n\nA b c d e")), "paragraph").first()["n_removed"] == 1
+
+
+def test_extraction_of_held_out_pages():
+    draw = random.Random(123)
+    model = extraction.trained()
+    right = total = exact = 0
+    for _ in range(300):
+        html, labels = extraction.labelled_page(draw)
+        page = extraction.blocks(html)
+        scores = [sum(model.weights.get(f, 0.0) for f in a + s) for a, s in extraction.block_features(page)]
+        got = model.best(scores)
+        right += sum(a == b for a, b in zip(got, labels))
+        total += len(labels)
+        exact += got == labels
+    assert right / total > 0.98 and exact / 300 > 0.85
+
+
+def test_extraction_query(spark):
+    import re
+    from html import unescape
+
+    pages = dict(rows(spark, "pages", "page_id", "html"))
+    found = QUERIES["op7_crf"](spark, SF).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        article = re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
+        parts = re.split(r"</?(?:p|h\d)\b[^>]*>", article)
+        parts = [" ".join(unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in parts]
+        assert r["text"] == "\n".join(p for p in parts if p)
+        assert r["n_chars"] == len(r["text"])
+
+
+ARTICLE = "<article><h1>A title</h1><p>First text of\n the article, caf&eacute; &amp; more.</p><p>Second.</p></article>"
+
+
+def test_extraction_of_odd_pages(spark):
+    pages = [
+        (1, "u", None),
+        (2, None, ""),
+        (3, "u", "plain < text without any markup, only words. And a second sentence."),
+        (4, "u", f"<body><nav><a href=x>Home</a></nav>{ARTICLE}<footer>&copy; me</footer>"),
+        (None, "u", f"<body>{ARTICLE}<div class='comments'><p>I do not agree with this.</p></div>"),
+        (5, "u", "<div>" * 3000 + "deep text in many elements." + "</div>" * 10),
+        (6, "u", f"<script>var a = '<p>no</p>';</script><style>p{{}}</style><!-- <p>no</p> -->{ARTICLE}"),
+        (6, "u", "<p class=\"open quote>text <b>x</p><p>" + "y " * 50_000),
+    ]
+    kinds = "page_id bigint, url string, html string, text string, tag string"
+    frame = spark.createDataFrame([(*p, "t", "t") for p in pages], kinds)
+    found = extraction.extract(frame).collect()
+    assert len(found) == len(pages)
+    main = "A title\nFirst text of the article, café & more.\nSecond."
+    texts = defaultdict(list)
+    for r in found:
+        texts[r["page_id"]].append(r["text"])
+    assert texts[1] == [""] and texts[2] == [""]
+    assert texts[4] == [main] and texts[None] == [main] and main in texts[6]
+    assert extraction.extract(frame.limit(0)).count() == 0
+
+
+def expected_records(pages):
+    last = {}
+    for page_id, _, html in pages:
+        key = html or ""
+        if page_id is not None:
+            last[key] = max(page_id, last.get(key, page_id))
+    out = Counter()
+    for page_id, url, html in pages:
+        payload = (html or "").encode()
+        top = last.get(html or "")
+        refers = None if page_id == top else top
+        kind = "response" if refers is None else "revisit"
+        out[page_id, len(payload), warc.sha1_base32(payload), kind, refers, url] += 1
+    return out
+
+
+def test_archives_query(spark):
+    pages = rows(spark, "pages", "page_id", "url", "html")
+    assert Counter(tuple(r) for r in QUERIES["op9_warc"](spark, SF).collect()) == expected_records(pages)
+
+
+ODD_PAGES = [
+    (1, "http://a/\r\nWARC-Type: x", "same"),
+    (2, "http://b/%41 é", "same"),
+    (2, "http://b/%41 é", "same"),
+    (3, None, None),
+    (4, "u", ""),
+    (None, "u", "same"),
+    (None, None, "alone"),
+    (5, "u", "WARC/1.1\r\n\r\n" + "x" * 300_000),
+    *((100 + i, f"u{i}", f"page {i} " + "".join(random.Random(i).choices("abcdef", k=3000))) for i in range(40)),
+]
+
+
+@pytest.mark.parametrize("size", [100, 4096, 1 << 23])
+def test_archives_round_trip(spark, size):
+    frame = spark.createDataFrame(ODD_PAGES, "page_id bigint, url string, html string").coalesce(2)
+    folder, manifest = warc.write_archives(frame, 20_000)
+    assert manifest.count() > 2
+    found = warc.read_archives(folder, manifest, size, with_payload=True).collect()
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+    assert Counter(tuple(r[n] for n in names) for r in found) == expected_records(ODD_PAGES)
+    texts = {(h or "").encode() for _, _, h in ODD_PAGES}
+    assert {bytes(r["payload"]) for r in found if r["record_type"] == "response"} == texts
+
+
+def test_archives_of_nothing(spark):
+    frame = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert warc.archived(frame).count() == 0
+
+
+def test_reader_passes_over_what_is_no_record(spark, tmp_path):
+    import gzip
+
+    good = warc.record(1, "u", b"text", None)
+    raw = b"junk \x1f\x8b\x08 junk" + gzip.compress(b"no record") + gzip.compress(good) + b"\x1f\x8b\x08"
+    (tmp_path / "a.warc.gz").write_bytes(raw)
+    manifest = spark.createDataFrame([(str(tmp_path / "a.warc.gz"), len(raw))], "path string, bytes bigint")
+    for size in (7, 1 << 20):
+        found = warc.read_archives(str(tmp_path), manifest, size, with_payload=True).collect()
+        assert [(r["page_id"], bytes(r["payload"])) for r in found] == [(1, b"text")]
