@@ -1,6 +1,6 @@
 """Benchmark decontamination by winnowing.
 
-Of the hashes of all 5-word grams inside a window of 13 words the least one is kept. A window
+Of the hashes of all 8-word grams inside a window of 13 words the least one is kept. A window
 that a document shares with a benchmark item yields the same least hash on both sides, so the
 join of the kept hashes misses no shared span of 13 words or more. Each hit is extended to its
 whole window and compared word by word. Items of fewer words are one window of their own
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from assaymill.llm.common import ascii_lower, columns, stored
 
 #: Words of a window and of a gram.
-SPAN, GRAM = 13, 5
+SPAN, GRAM = 13, 8
 #: Fingerprints that are broadcast at once, 8 bytes each: more are taken in blocks.
 BLOCK = 1_000_000
 #: What stands between words, for Java and RE2, after A-Z have become a-z.
@@ -26,25 +26,40 @@ def item_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
-def windows(df: DataFrame, span: int) -> DataFrame:
+def _folded(column: str, apart: int, function: str) -> str:
+    """``function`` of an array's values ``apart`` places apart."""
+    n = f"greatest(size({column}) - {apart}, 0)"
+    return f"zip_with(slice({column}, 1, {n}), slice({column}, {1 + apart}, {n}), (a, b) -> {function})"
+
+
+def _spread(df: DataFrame, column: str, size: int, function: str) -> DataFrame:
+    """``column`` becomes the function over ``size`` neighbours, doubling and then overlapping."""
+    wide = 1
+    while wide < size:
+        step = min(wide, size - wide)
+        df = df.withColumn(column, F.expr(_folded(column, step, function)))
+        wide += step
+    return df
+
+
+def windows(df: DataFrame, span: int, prints: DataFrame | None = None) -> DataFrame:
     """A row per window of ``span`` words: its place ``s``, kept hash ``fp`` and ``window``.
 
-    ``df`` has the array ``words``; its other columns stay. The words of a window
-    are columns side by side, so hashing and the choice of the least run as compiled code.
+    ``df`` has the array ``words``; its other columns stay. With ``prints``, one column ``print``, only
+    windows with such a hash are returned, and words are put together for these alone.
     """
     gram = min(GRAM, span)
-    n = f"greatest(size(words) - {span - 1}, 0)"
-    slices = ", ".join(f"slice(words, {k + 1}, {n})" for k in range(span))
-    names = [f"w{k}" for k in range(span)]
     others = [c for c in df.columns if c != "words"]
-    # arrays_zip of nothing but empty slices gives no rows.
-    out = df.where(F.size("words") >= span).select(
-        *others, F.expr(f"inline(arrays_zip({slices}, sequence(0, size(words) - {span})))").alias(*names, "s")
-    )
-    out = out.select(*others, "s", *names, *(F.xxhash64(w).alias(f"h{k}") for k, w in enumerate(names)))
-    grams = [F.xxhash64(*(f"h{k + i}" for i in range(gram))) for k in range(span - gram + 1)]
-    least = F.least(*grams) if len(grams) > 1 else grams[0]
-    return out.select(*others, "s", least.alias("fp"), F.concat_ws(" ", *names).alias("window"))
+    out = df.withColumn("prints", F.transform("words", lambda word: F.xxhash64(word)))
+    out = _spread(out, "prints", gram, "xxhash64(a, b)")
+    out = _spread(out, "prints", span - gram + 1, "least(a, b)")
+    # The outer form, as the plain one adds a filter that repeats all steps above; a text without
+    # windows gives one null, which goes.
+    out = out.select(*others, "words", F.posexplode_outer("prints").alias("s", "fp")).where("fp IS NOT NULL")
+    if prints is not None:
+        out = out.join(F.broadcast(prints), F.col("fp") == prints["print"], "left_semi")
+    window = F.array_join(F.slice("words", F.col("s") + 1, span), " ")
+    return out.select(*others, "s", "fp", window.alias("window"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -96,11 +111,8 @@ def document_hits(docs: DataFrame, found: DataFrame) -> DataFrame:
                 .select(F.col("fp").alias("print"))
                 .distinct()
             )
-            places = windows(texts, span)
-            parts.append(
-                places.join(F.broadcast(prints), places["fp"] == prints["print"], "left_semi")
-                .select("id", "text_hash", "s", F.lit(span).alias("span"), "window")
-            )
+            places = windows(texts, span, prints)
+            parts.append(places.select("id", "text_hash", "s", F.lit(span).alias("span"), "window"))
     if not parts:
         return None
     candidates = parts[0]
