@@ -1,4 +1,8 @@
-"""Dense positions 1..n within groups of any size."""
+"""Dense positions 1..n within groups of any size.
+
+Slices carry the group once more as ``_key``, a struct that is not NULL even where the group is:
+the window and the join over it then need one and the same partitioning.
+"""
 
 from __future__ import annotations
 
@@ -32,26 +36,19 @@ def sliced(df: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
     from a sample, and all readers have to see the same ones.
     """
     ranged = df.repartitionByRange(F.col(group), *order)
-    return ranged.withColumn("_slice", F.spark_partition_id())
+    return ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_key", F.struct(group))
 
 
 def rank_sliced(df: DataFrame, group: str, order: Sequence[Column], into: str) -> DataFrame:
     """Positions from rows that ``sliced`` made."""
     # One row per group and slice: as many as there are groups and partitions.
-    earlier = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(group, "_slice")
+        df.groupBy("_key", "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_slice").alias("_group_slice"),
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        )
-    )
-    same_slice = F.col(group).eqNullSafe(F.col("_group")) & (
-        F.col("_slice") == F.col("_group_slice")
+        .select("_key", "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    place = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
+    place = F.row_number().over(Window.partitionBy("_key", "_slice").orderBy(*order))
     position = (F.col("_before") + F.col("_place")).cast("int").alias(into)
-    kept = [c for c in df.columns if c != "_slice"]
-    return df.withColumn("_place", place).join(offsets, same_slice).select(*kept, position)
+    kept = [c for c in df.columns if c not in ("_slice", "_key")]
+    return df.withColumn("_place", place).join(offsets, ["_key", "_slice"]).select(*kept, position)

@@ -34,7 +34,7 @@ class Criterion:
 
 def check_weights(criteria: Sequence[Criterion]) -> None:
     if abs(sum(c.weight for c in criteria) - 1.0) > WEIGHT_TOLERANCE:
-        raise ValueError("Scoring weights must add up to 1.0.")
+        raise ValueError(f"The criteria's weights sum to {sum(c.weight for c in criteria)}, not 1.")
 
 
 def bounds(df: DataFrame, group: str, criteria: Sequence[Criterion]) -> DataFrame:
@@ -56,9 +56,9 @@ def score(
 ) -> DataFrame:
     """Scale each criterion within its group and add the weighted scores.
 
-    ``limits`` has one row per group. Callers that have counted the groups can
-    broadcast it; past that the join is a sort-merge join, in which adaptive
-    execution splits the partition of an oversized group.
+    ``limits`` has one row per group. Adaptive execution broadcasts it when it turns out small
+    in bytes; past that the join is a sort-merge join, in which the partition of an
+    oversized group is split.
     """
     # Null-safe, so that rows without a group are a group, as they are in ``bounds``.
     limits = limits.withColumnRenamed(group, "_group")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.operators.dedup import latest_per_key
-from assaymill.operators.ranking import rank_within, rank_within_slices
+from assaymill.operators.ranking import rank_within_slices
 from assaymill.operators.scoring import Criterion, bounds, check_weights, score
 from assaymill.operators.summary import Measure, summarise
 from assaymill.schemas import CANDIDATE_COLUMNS
@@ -29,11 +29,8 @@ SUMMARISED = (
     "density_g_per_cm3",
 )
 
-# Candidates of one program that one task sorts; larger programs are sliced.
-ROWS_PER_TASK = 1_000_000
-
-# Programs whose bounds, some 150 bytes each, are sent to every executor.
-BROADCAST_PROGRAMS = 100_000
+# What the criteria count for unless told otherwise.
+STRENGTH_WEIGHT, CONDUCTIVITY_WEIGHT, DENSITY_WEIGHT = 0.45, 0.35, 0.20
 
 
 def event_order(columns: Sequence[str]) -> list[Column]:
@@ -59,7 +56,11 @@ def candidate_order() -> list[Column]:
     ]
 
 
-def criteria(strength: float = 0.45, conductivity: float = 0.35, density: float = 0.20):
+def criteria(
+    strength: float = STRENGTH_WEIGHT,
+    conductivity: float = CONDUCTIVITY_WEIGHT,
+    density: float = DENSITY_WEIGHT,
+) -> tuple[Criterion, ...]:
     chosen = (
         Criterion(STRENGTH, "strength_score", strength),
         Criterion(CONDUCTIVITY, "conductivity_score", conductivity),
@@ -88,21 +89,14 @@ def material_summary(
     )
 
 
-def rank_candidates(
-    summary: DataFrame, weighed: Sequence[Criterion], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def rank_candidates(summary: DataFrame, weighed: Sequence[Criterion]) -> DataFrame:
     """Score and rank a summary that has been written or checkpointed.
 
-    Reads it for the bounds and for the rows. How many programs there are decides
-    whether the bounds are broadcast, and the largest program how to rank.
+    Reads it for the bounds and for the rows. Programs are ranked in slices, whatever their size.
     """
-    limits = bounds(summary, PROGRAM, weighed)
-    programs, largest = limits.agg(F.count(F.lit(1)), F.max("group_rows")).first()
-    if programs <= BROADCAST_PROGRAMS:
-        limits = F.broadcast(limits)
-    scored = score(summary, limits, PROGRAM, weighed, "candidate_score")
-    rank = rank_within if (largest or 0) <= rows_per_task else rank_within_slices
-    return rank(scored, PROGRAM, candidate_order(), "candidate_rank").select(*CANDIDATE_COLUMNS)
+    scored = scored_candidates(summary, weighed)
+    ranked = rank_within_slices(scored, PROGRAM, candidate_order(), "candidate_rank")
+    return ranked.select(*CANDIDATE_COLUMNS)
 
 
 def scored_candidates(summary: DataFrame, weighed: Sequence[Criterion]) -> DataFrame:
@@ -113,22 +107,20 @@ def scored_candidates(summary: DataFrame, weighed: Sequence[Criterion]) -> DataF
 
 def material_candidates(
     events: DataFrame,
-    strength_weight: float = 0.45,
-    conductivity_weight: float = 0.35,
-    density_weight: float = 0.20,
+    strength_weight: float = STRENGTH_WEIGHT,
+    conductivity_weight: float = CONDUCTIVITY_WEIGHT,
+    density_weight: float = DENSITY_WEIGHT,
     order: Sequence[Column] | None = None,
     scale: int | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Ranked candidates per program from valid events.
 
     The summary, one row per material, is checkpointed: the pass over the
-    events then runs once, and what follows works on its small result.
+    events then runs once, and what follows works on its small result. So most of the
+    work is done when this returns, before the caller reads a row.
     """
     weighed = criteria(strength_weight, conductivity_weight, density_weight)
-    return rank_candidates(
-        materialise(material_summary(events, order, scale)), weighed, rows_per_task
-    )
+    return rank_candidates(materialise(material_summary(events, order, scale)), weighed)
 
 
 def top_candidates(candidates: DataFrame, k: int) -> DataFrame:

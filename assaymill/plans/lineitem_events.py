@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from assaymill.functions.columns import fingerprint, has_text
 from assaymill.operators.parse import compute_once
-from assaymill.sources.tables import spread
 
 FAULT = "l_orderkey % 100"
 
@@ -308,6 +307,49 @@ FAULTS = {
         {"lab_id": "'17'"},
         payload="replace(json, '\"lab_id\":\"17\"', '\"lab_id\":17')",
     ),
+    # A pattern's end must be the text's end: a line break after it breaks the contract only.
+    39: Fault(
+        (),
+        (("event_id", "format", "\"{event_id}\" is not a 'uuid'"),),
+        {"event_id": f"concat({BASE['event_id']}, chr(10))"},
+    ),
+    40: Fault(
+        (),
+        (("occurred_at", "format", "\"{occurred_at}\" is not a 'date-time'"),),
+        {"occurred_at": f"concat({BASE['occurred_at']}, chr(10))"},
+    ),
+    # An extra key in every other object.
+    **{
+        number: Fault(
+            (),
+            ((path, "additionalProperties", "Additional properties are not allowed: 'note'"),),
+            payload=f"replace(json, '{opening}', '{opening}\"note\":[1],')",
+        )
+        for number, path, opening in (
+            (41, "experiment", '"experiment":{'),
+            (42, MATERIAL, '"material":{'),
+            (43, CONDITIONS, '"process_conditions":{'),
+            (44, MEASURED, '"measurements":{'),
+            (45, f"{MATERIAL}.composition.0", '"composition":[{'),
+        )
+    },
+    46: Fault(
+        ("MISSING_LAB_ID",),
+        (("experiment.lab_id", "type", "null is not of type 'string'"),),
+        {"lab_id": "NULL"},
+        payload="replace(json, '\"experiment\":{', '\"experiment\":{\"lab_id\":null,')",
+    ),
+    47: Fault(
+        (),
+        ((f"{MATERIAL}.composition.1.component", "minLength", '"" is too short'),),
+        payload="replace(json, '\"component\":\"rest\"', '\"component\":\"\"')",
+    ),
+    48: Fault((), (NOT_JSON,), payload="concat(json, json)"),
+    49: Fault(
+        ("MISSING_EVENT_TYPE", "UNSUPPORTED_EVENT_TYPE"),
+        (("event_type", "const", "\"\" is not 'experiment.completed'"),),
+        {"event_type": "''"},
+    ),
     # Spaces only: never becomes a raw row. A tab does, and is malformed.
     37: Fault((), (), payload=BLANK[0]),
     38: Fault(("MALFORMED_JSON",), (NOT_JSON,), payload=BLANK[1], lost=True),
@@ -338,9 +380,11 @@ def payload_sql() -> str:
 
 def event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with all event columns. Only what the events use is read."""
-    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_returnflag"))
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").drop("p_name")
-    joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").drop("l_returnflag")
+    # Parts grow with the line items, so they are not broadcast; the shuffle by part also deals
+    # out a small table that came as one row group.
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").drop("p_name").hint("shuffle_hash")
+    joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey, "left")
     keyed = joined.selectExpr("*", f"{FAULT} AS fault", f"{BASE['event_key']} AS event_key")
     return keyed.selectExpr(
         *SOURCE_KEYS,

@@ -17,6 +17,7 @@ from assaymill.operators import reconcile
 from assaymill.operators.contract import contract_violations, report
 from assaymill.operators.dedup import latest_per_key
 from assaymill.operators.parse import flatten, parse_json, parse_succeeded
+from assaymill.operators.ranking import rank_within
 from assaymill.operators.scoring import bounds
 from assaymill.plans import candidates as gold
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
@@ -31,9 +32,10 @@ from assaymill.plans.lineitem_events import (
     derived_payloads,
     derived_raw,
 )
-from assaymill.session import materialise, shared_folder
+from assaymill.schemas import CANDIDATE_COLUMNS
+from assaymill.session import materialise, setting, shared_folder
 from assaymill.sources.files import read_events, read_raw
-from assaymill.sources.tables import read_table, spread
+from assaymill.sources.tables import read_table, stream_table
 from assaymill.streaming import layers as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,20 +94,35 @@ def written_lines(lines: DataFrame) -> str:
     return folder
 
 
-_streamed: dict[tuple[str, str], stream.Layers] = {}
+_streamed: dict[tuple[str, str], tuple[tuple, stream.Layers]] = {}
+
+
+def _content(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells tables of one folder apart from what it held before."""
+    return tuple(
+        tuple(
+            spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            .select(F.xxhash64("*").cast("decimal(38,0)").alias("row"))
+            .agg(F.count("*"), F.sum("row"))
+            .first()
+        )
+        for name in ("lineitem", "part")
+    )
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> stream.Layers:
-    """All layers filled by the streams, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """All layers filled by the streams, once per session and content of the folder."""
+    key, content = (spark.sparkContext.applicationId, sf_dir), _content(spark, sf_dir)
+    if key in _streamed and _streamed[key][0] != content:
+        spark.sql(f"DROP DATABASE {_streamed.pop(key)[1].database} CASCADE")
     if key not in _streamed:
         root = shared_folder(spark, "layers")
         made = stream.Layers(f"layers_{root[-32:]}", root)
         arrived = written_lines(derived_payloads(spark, sf_dir).select("value"))
         scoring = {"order": derived_order(), "scale": 2}
         stream.run_available(spark, arrived, made, scoring=scoring)
-        _streamed[key] = made
-    return _streamed[key]
+        _streamed[key] = content, made
+    return _streamed[key][1]
 
 
 # ------------------------------------------------------ the same in checking SQL
@@ -130,7 +147,7 @@ LINE = _by_fault(lambda n: FAULTS[n].payload if FAULTS[n].payload in BLANK else
 RAW_SQL = f"""
     keyed AS (
         SELECT *, {FAULT} AS fault, {BASE["event_key"]} AS event_key
-        FROM lineitem JOIN part ON l_partkey = p_partkey
+        FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
     ),
     raw AS (
         SELECT {", ".join(SOURCE_KEYS)}, fault,
@@ -153,6 +170,10 @@ VALIDATED_SQL = f"""
                 THEN CAST(epoch(l_shipdate) AS BIGINT) END AS occurred_epoch,
             CASE WHEN fault IN ({LOST}, 15) THEN NULL WHEN fault = 16 THEN 0
                 ELSE first_mass + second_mass END AS mass_total,
+            CASE WHEN fault IN ({LOST}, 15) THEN NULL WHEN fault = 16 THEN ''
+                ELSE concat('base:', coalesce(CAST(CAST(first_mass AS BIGINT) AS VARCHAR), ''),
+                    CASE fault WHEN 47 THEN ';:' ELSE ';rest:' END,
+                    CAST(CAST(second_mass AS BIGINT) AS VARCHAR)) END AS composition,
             {_by_fault(lambda n: f"'{','.join(FAULTS[n].codes)}'", "''")} AS codes
         FROM raw
     ),
@@ -315,7 +336,7 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parse with another schema."""
-    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
     return parse_json(events, "props", "k bigint").select(
         "event_id", *flatten("parsed", {"k": "k"}), parse_succeeded().alias("readable")
     )
@@ -410,6 +431,32 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH {VALIDATED_SQL}
+    SELECT {", ".join(KEYS + _TYPED_TEXT + _TYPED)}, occurred_epoch, mass_total, composition, codes,
+        codes = '' AS is_valid, TRUE AS has_payload, TRUE AS has_fingerprint
+    FROM validated
+""")
+def validated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole validated row, the composition as text. Its line and hash are only looked at
+    for being there: another engine does not write JSON byte for byte."""
+    return validated(spark, sf_dir).select(
+        *KEYS,
+        *_TYPED_TEXT,
+        *_TYPED,
+        epoch("occurred_at", "occurred_epoch"),
+        F.col("composition_mass_percent_total").alias("mass_total"),
+        F.expr(
+            "array_join(transform(composition, i -> concat(coalesce(i.component, ''), ':',"
+            " coalesce(CAST(CAST(i.mass_percent AS bigint) AS string), ''))), ';')"
+        ).alias("composition"),
+        F.array_join("validation_errors", ",").alias("codes"),
+        "is_valid",
+        (F.length("raw_payload") > 0).alias("has_payload"),
+        (fingerprint(F.col("raw_payload")) == F.col("payload_sha256")).alias("has_fingerprint"),
+    )
+
+
 # ---------------------------------------------------------------- data contract
 
 def _literal(text: str) -> str:
@@ -429,8 +476,8 @@ _FOUND_SQL = f"""
     {RAW_SQL}, {_VIOLATIONS_SQL},
     found AS (
         SELECT {", ".join(KEYS)}, field_path, rule,
-            replace(replace(template, '{{event_id}}', coalesce(event_id, '')),
-                '{{occurred_at}}', coalesce(occurred_at, '')) AS message
+            replace(replace(template, '{{event_id}}', replace(coalesce(event_id, ''), chr(10), '\\n')),
+                '{{occurred_at}}', replace(coalesce(occurred_at, ''), chr(10), '\\n')) AS message
         FROM raw JOIN violation USING (fault)
     )
 """
@@ -519,8 +566,23 @@ def ranked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
 def ranked_candidates_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every program cut into slices, as very large ones are."""
-    return with_epoch(ranked(spark, sf_dir, rows_per_task=0))
+    """The same with small slices, so that most programs are cut into several."""
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        return with_epoch(ranked(spark, sf_dir))
+
+
+@query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
+def ranked_candidates_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with each program in one window, for programs known to be small."""
+    scored = gold.scored_candidates(materialise(summary(spark, sf_dir)), gold.criteria())
+    rows = rank_within(scored, gold.PROGRAM, gold.candidate_order(), "candidate_rank")
+    return with_epoch(rows.select(*CANDIDATE_COLUMNS))
+
+
+@query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
+def ranked_candidates_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing chosen: the default event order and averages without a given scale."""
+    return with_epoch(gold.material_candidates(valid(spark, sf_dir)))
 
 
 @query(f"WITH {_ranked_sql(OTHER_WEIGHTS)} SELECT {_RANKED_COLUMNS} FROM ranked")
@@ -562,6 +624,21 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    WITH {VALIDATED_SQL}
+    SELECT program_id, CAST(count(*) AS BIGINT) AS row_count FROM valid GROUP BY program_id
+""")
+def stream_from_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid layer streamed on into a table of its own."""
+    made = streamed(spark, sf_dir)
+    folder = shared_folder(spark, "from-valid")
+    rows = stream_table(spark, made.table(stream.VALID)).select("program_id")
+    sink = rows.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+    sink.trigger(availableNow=True).start(f"{folder}/rows").awaitTermination()
+    copied = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    return copied.groupBy("program_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
 def stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The candidate table as refreshed from the streamed valid layer."""
@@ -623,11 +700,30 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 """)
 def layers_conserved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No raw row is lost or doubled on its way to a verdict."""
+    """The rows of both verdicts are as many as the raw rows."""
     counts = reconcile.layer_counts(layer_tables(spark, sf_dir))
     return reconcile.conserved(counts, "bronze", ["silver", "quarantine"])
 
 
+@query(f"""
+    WITH {VALIDATED_SQL}
+    SELECT CAST(count(*) AS BIGINT) AS raw_rows, 0::BIGINT AS lost, 0::BIGINT AS doubled FROM raw
+""")
+def layers_same_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No raw row is lost or doubled on its way to a verdict, payload by payload."""
+    made = layer_tables(spark, sf_dir)
+    of = lambda name: made[name].select("payload_sha256")
+    judged = of("silver").unionByName(of("quarantine"))
+    wrong = reconcile.diff(of("bronze"), judged).groupBy().agg(
+        *(
+            F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0)).alias(name)
+            for side, name in (("missing", "lost"), ("unexpected", "doubled"))
+        )
+    )
+    raw = of("bronze").groupBy().agg(F.count(F.lit(1)).alias("raw_rows"))
+    return raw.select("raw_rows", *(wrong.select(c).scalar().alias(c) for c in wrong.columns))
+
+
 @query(f"""
     WITH {COUNTS_SQL}
     SELECT layer, expected_rows, actual_rows
@@ -680,12 +776,11 @@ def ranking_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def event_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with copies against an expectation that has some of them once more."""
-    columns = ("l_linenumber", "program_id", "material_id", "lab_id")
-    events = materialise(valid(spark, sf_dir).select(*columns))
-    again = events.filter("l_linenumber = 1")
-    return reconcile.diff(
-        events.unionByName(again).drop("l_linenumber"), events.drop("l_linenumber")
-    )
+    # Each event is expected once, and once more if first of its order; and it is there once.
+    expected = 1 + F.when(F.col("l_linenumber") == 1, 1).otherwise(0)
+    balance = (expected - 1).alias("balance")
+    rows = valid(spark, sf_dir).select("program_id", "material_id", "lab_id", balance)
+    return reconcile.unbalanced(rows, "balance")
 
 
 @query(f"""

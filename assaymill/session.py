@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import is_remote
 
+
 def local_session(app: str, cores: str | int = "*", partitions: int = 8, **conf) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (
@@ -18,6 +20,7 @@ def local_session(app: str, cores: str | int = "*", partitions: int = 8, **conf)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.minPartitionNum", str(partitions))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -47,7 +50,7 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = configured or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
         root = tempfile.mkdtemp(prefix="assaymill-")
     if context.getCheckpointDir() is None:

@@ -42,20 +42,30 @@ from assaymill.streaming.layers import (
 # Fixed value: the setting that names the folder where event files arrive.
 SOURCE_PATH = "materials.source_path"
 
+# Settings of a pipeline that may be left out: the file source's batch size, the weights of
+# strength, conductivity and density with commas between, and the decimals of the measures.
+BATCH_BYTES = "materials.max_bytes_per_trigger"
+WEIGHTS = "materials.weights"
+SCALE = "materials.scale"
+
 SUMMARY = "material_summary"
 SLICES = "candidate_slices"
 
 
 def declare(spark: SparkSession, source: str | None = None) -> None:
-    """Declare all layers; the source folder comes from the pipeline's settings."""
+    """Declare all layers; folder, batch size and scoring come from the pipeline's settings."""
     folder = source or spark.conf.get(SOURCE_PATH)
+    batch_bytes, weights, scale = (spark.conf.get(k, None) for k in (BATCH_BYTES, WEIGHTS, SCALE))
+    batches = {"maxBytesPerTrigger": batch_bytes} if batch_bytes else {}
+    weighed = criteria(*map(float, weights.split(","))) if weights else criteria()
+    decimals = int(scale) if scale else None
 
     def layer(name: str, **options):
         return {"name": name, "comment": COMMENTS.get(name), **options}
 
     @dp.table(**layer(RAW))
     def raw():
-        return stream_raw(spark, folder)
+        return stream_raw(spark, folder, **batches)
 
     @dp.table(**layer(VALIDATED, partition_cols=[VERDICT]))
     def validated():
@@ -74,11 +84,11 @@ def declare(spark: SparkSession, source: str | None = None) -> None:
     # slices, whose cut points all readers have to share.
     @dp.materialized_view(name=SUMMARY, comment="Distinct events per material, averaged.")
     def summary():
-        return material_summary(read_table(spark, VALID))
+        return material_summary(read_table(spark, VALID), scale=decimals)
 
     @dp.materialized_view(name=SLICES, comment="Scored materials, range-partitioned by rank.")
     def slices():
-        scored = scored_candidates(read_table(spark, SUMMARY), criteria())
+        scored = scored_candidates(read_table(spark, SUMMARY), weighed)
         return sliced(scored, PROGRAM, candidate_order())
 
     @dp.materialized_view(**layer(CANDIDATES))

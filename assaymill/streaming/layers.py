@@ -3,9 +3,9 @@
     files -> raw -> validated -> valid and quarantined -> candidates
 
 ``validated`` is written once, partitioned by ``verdict``, by an ordinary
-exactly-once stream. The valid and the quarantined layer are views that read one
-partition each, so an event is parsed once and stored once. Where a consumer has to
-stream from one of the two, ``split="tables"`` writes them out as tables.
+exactly-once stream. The valid and the quarantined layer are tables of their own, which can be
+streamed on. Where nobody streams from them, ``split="views"`` makes them views that read
+one partition each, so that an event is stored once.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import is_remote
 
 from assaymill.plans.candidates import material_candidates
 from assaymill.plans.experiments import validated_events
@@ -75,7 +76,7 @@ def run_available(
     spark: SparkSession,
     source: str,
     layers: Layers,
-    split: str = "views",
+    split: str = "tables",
     scoring: Mapping | None = None,
     **options,
 ) -> None:
@@ -96,9 +97,15 @@ def run_available(
     refresh_candidates(spark, layers, **(scoring or {}))
 
 
+def quoted(text: str) -> str:
+    """A SQL string of any text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, layers: Layers) -> None:
     spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {layers.database} LOCATION '{layers.root}/database'"
+        f"CREATE DATABASE IF NOT EXISTS {layers.database}"
+        f" LOCATION {quoted(f'{layers.root}/database')}"
     )
 
 
@@ -111,7 +118,7 @@ def append(
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {layers.table(name)} ({rows.schema.toDDL()})"
         f" USING {layers.table_format} {partitioned}"
-        f" LOCATION '{layers.location(name)}' COMMENT '{COMMENTS[name]}'"
+        f" LOCATION {quoted(layers.location(name))} COMMENT '{COMMENTS[name]}'"
     )
     with setting(spark, CONCURRENT_WRITERS, str(OPEN_WRITERS)):
         query = (
@@ -169,19 +176,36 @@ def refresh_candidates(spark: SparkSession, layers: Layers, **scoring) -> None:
     """Recompute the candidates from all valid events.
 
     The new version is written in full beside the old one and takes its place by one
-    catalog change, so a reader or a failed run never leaves half a table. Old
-    versions stay until they are cleaned up.
+    catalog change, so a reader or a failed run never leaves half a table. The
+    version before stays for those who are reading it; older ones are removed.
     """
     candidates = material_candidates(read_table(spark, layers.table(VALID)), **scoring)
     version = f"{layers.location(CANDIDATES)}/version-{uuid.uuid4().hex}"
     candidates.write.parquet(version)
     table = layers.table(CANDIDATES)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        before = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()[1]
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(version)}")
+        remove_versions(spark, layers, keep=(version, before))
     else:
         spark.sql(
             f"CREATE TABLE {table} ({candidates.schema.toDDL()}) USING parquet"
-            f" LOCATION '{version}' COMMENT '{COMMENTS[CANDIDATES]}'"
+            f" LOCATION {quoted(version)} COMMENT '{COMMENTS[CANDIDATES]}'"
         )
     spark.catalog.refreshTable(table)
 
+
+def remove_versions(spark: SparkSession, layers: Layers, keep: tuple[str, ...]) -> None:
+    """Remove the candidates' versions but those to keep.
+
+    Through the file system of the folder, which a plain session can reach; over Connect they stay.
+    """
+    if is_remote():
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop(layers.location(CANDIDATES))
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    kept = {hadoop(path).getName() for path in keep}
+    for found in store.listStatus(folder):
+        if found.getPath().getName().startswith("version-") and found.getPath().getName() not in kept:
+            store.delete(found.getPath(), True)

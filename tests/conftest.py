@@ -66,6 +66,7 @@ def experiment(
     }
 
 
+# --- fixed values: the three sample experiments, and EXPECTED_RANKING in test_reconcile.py ---
 # Two materials that compete and one that is alone in its program.
 EVENTS = [
     experiment(
@@ -99,6 +100,7 @@ EVENTS = [
         "2026-06-22T11:25:00Z",
     ),
 ]
+# --- end of fixed values ---
 
 
 class Dropped:

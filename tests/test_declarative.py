@@ -6,10 +6,18 @@ from pyspark.pipelines.graph_element_registry import (
     graph_element_registration_context,
 )
 
-from assaymill.plans.candidates import material_candidates
+from assaymill.plans.candidates import material_candidates, material_summary
 from assaymill.plans.experiments import valid_events, validated_events
 from assaymill.sources.files import read_raw
-from assaymill.streaming.declarative import SLICES, SOURCE_PATH, SUMMARY, declare
+from assaymill.streaming.declarative import (
+    BATCH_BYTES,
+    SCALE,
+    SLICES,
+    SOURCE_PATH,
+    SUMMARY,
+    WEIGHTS,
+    declare,
+)
 from assaymill.streaming.layers import CANDIDATES, COMMENTS, QUARANTINED, RAW, VALID, VALIDATED
 
 
@@ -43,6 +51,29 @@ def test_all_layers_are_declared(declared):
         assert declared.outputs[name].comment == comment
 
 
+def test_weights_and_batch_size_come_from_the_settings(spark, event_file):
+    wanted = {SOURCE_PATH: str(event_file.parent), BATCH_BYTES: "1000", WEIGHTS: "0,0,1", SCALE: "2"}
+    registry = Declared()
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        with graph_element_registration_context(registry):
+            declare(spark)
+        plan = registry.flows[RAW].func()._jdf.queryExecution().logical().toString()
+        batch = valid_events(validated_events(read_raw(spark, event_file)))
+        material_summary(batch, scale=2).createOrReplaceTempView(SUMMARY)
+        rows = registry.flows[SLICES].func().collect()
+        assert "StreamingRelation" in plan
+        assert all(r.candidate_score == r.density_score for r in rows)
+        spark.conf.set(WEIGHTS, "1,1,1")
+        with pytest.raises(ValueError), graph_element_registration_context(Declared()):
+            declare(spark)
+    finally:
+        spark.catalog.dropTempView(SUMMARY)
+        for key in (BATCH_BYTES, WEIGHTS, SCALE):
+            spark.conf.unset(key)
+
+
 def test_the_declared_queries_lead_to_the_candidates(spark, declared, event_file, tmp_path):
     """Fill the tables in order, as the runner does over a server this test does not start."""
     (event_file.parent / "bad.jsonl").write_text("{\n")

@@ -4,7 +4,18 @@ import pytest
 
 from assaymill import queries
 from assaymill.operators.scoring import bounds
-from assaymill.plans.candidates import PROGRAM, criteria, event_order, material_summary
+from pyspark.sql import functions as F
+
+from assaymill.operators.ranking import rank_sliced, sliced
+from assaymill.plans.candidates import (
+    PROGRAM,
+    candidate_order,
+    criteria,
+    event_order,
+    material_summary,
+    scored_candidates,
+)
+from assaymill.session import setting
 from assaymill.plans.experiments import valid_events, validated_events
 from assaymill.operators.dedup import latest_per_key
 from conftest import EVENTS
@@ -57,3 +68,18 @@ def test_no_query_crosses_or_runs_python(spark, name):
     plan = physical(queries.QUERIES[name](spark, SF))
     for part in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert part not in plan
+
+
+def test_slices_are_not_shuffled_twice(spark, stored):
+    """One exchange of the candidates cut in slices, for the window and the join alike."""
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        summary = material_summary(stored)
+        rows = scored_candidates(summary, criteria()).withColumn("payload", F.lit("x").cast("string"))
+        cut = sliced(rows, PROGRAM, candidate_order()).checkpoint()
+        plan = physical(rank_sliced(cut, PROGRAM, candidate_order(), "n"))
+    by_slice = [line for line in plan.splitlines() if "Exchange hashpartitioning(_key" in line]
+    # The candidates by program and slice; the counts by program and slice, then by program.
+    assert len(by_slice) <= 4
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert joined.index("Window") < joined.index("Exchange")
+    assert "eqNullSafe" not in plan and "coalesce(program_id" not in plan

@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from assaymill.queries import QUERIES, SQL  # noqa: E402
 from compare import compare, connect  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -18,13 +19,14 @@ def connection():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     assert compare(spark, connection, name, SF) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -129,7 +129,7 @@ def test_comments(spark, folder, layers):
 
 
 def test_verdict_prunes_the_other_partition(spark, folder, layers):
-    run_available(spark, str(folder), layers)
+    run_available(spark, str(folder), layers, split="views")
     valid = spark.read.table(layers.table(VALID)).select("event_id")
     plan = valid._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(verdict" in plan
@@ -160,3 +160,21 @@ def test_candidates_are_replaced_as_a_whole(spark, folder, layers):
     first = table.filter("program_id = 'LIGHTWEIGHT-ALLOYS' AND candidate_rank = 1").first()
     assert (table.count(), first.material_id) == (3, "MAT-AL-002")
     assert spark.catalog.getTable(layers.table(CANDIDATES)) == before
+
+
+def test_old_versions_of_the_candidates_are_removed(spark, folder, layers):
+    from assaymill.streaming.layers import refresh_candidates
+
+    run_available(spark, str(folder), layers)
+    for _ in range(3):
+        refresh_candidates(spark, layers)
+        assert spark.read.table(layers.table(CANDIDATES)).count() == 3
+    assert len(list(Path(layers.location(CANDIDATES)).glob("version-*"))) == 2
+
+
+def test_a_quote_in_a_folder_name(spark, folder, tmp_path):
+    layers = Layers(f"db_{uuid.uuid4().hex}", str(tmp_path / "it's here"))
+    run_available(spark, str(folder), layers)
+    run_available(spark, str(folder), layers)
+    assert counts(spark, layers) == [5, 5, 3, 2, 3]
+    spark.sql(f"DROP DATABASE {layers.database} CASCADE")
