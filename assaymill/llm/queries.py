@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from assaymill.llm import checks
 from assaymill.llm.common import table
 from assaymill.llm.decontaminate import decontaminate
 from assaymill.llm.extraction import extract
@@ -19,7 +20,7 @@ from assaymill.llm.units import remove_repeated_units
 from assaymill.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(checks.SQL)
 
 
 def query(function):
