@@ -1,8 +1,9 @@
 """Suffix-array dedup: every byte inside a long string that also starts elsewhere is removed.
 
 Windows of ``LENGTH`` bytes with the same content share their least 16-byte gram, at the same offset.
-So the windows of a text are cut into segments, one per least gram (the anchor), and a window can
-only repeat among segments of its anchor:
+So they also share the half window on that side of the gram where more of the window lies: the gram
+with the 92 bytes after it, or with those before it. The windows of a text are cut into segments of one
+such core, the anchor, and a window can only repeat among segments of its anchor:
 
 1. Segments are counted by anchor and content. Equal contents repeat as a whole.
 2. Anchors with several contents, some of them single, need a closer look. Their contents, each once,
@@ -57,7 +58,8 @@ def segments(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nda
     """
     stretch = (1 << _PLACE_BITS) - 1
     windows = len(data) - length + 1
-    firsts, counts, anchors = [], [], []
+    half = (length - GRAM) // 2
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for low in range(0, max(windows, 0), stretch - length):
         high = min(low + stretch - length, windows)
         hashes = gram_hashes(data[low : high + length - 1])
@@ -68,15 +70,24 @@ def segments(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nda
             step = min(wide, want - wide)
             least = np.minimum(least[: len(least) - step], least[step:])
             wide += step
-        at = least & U((1 << _PLACE_BITS) - 1)
-        new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        firsts.append(new + low)
-        counts.append(np.diff(np.append(new, high - low)))
-        anchors.append(hashes[at[new].astype(np.int64)])
-    if not firsts:
+        at = (least & U((1 << _PLACE_BITS) - 1)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        at, end = at[first], np.append(first[1:], high - low)
+        # Windows from the middle on have more after the gram, those before it more before.
+        middle = np.clip(at - half, first, end)
+        for begin, stop, shift in ((first, middle, -half), (middle, end, 0)):
+            some = begin < stop
+            core = at[some] + shift
+            anchor = np.full(len(core), shift + half, dtype=U)
+            for place in (*range(0, half, GRAM), half):
+                anchor = mix(anchor * U(0x9E3779B97F4A7C15) + hashes[core + place])
+            parts.append((begin[some] + low, (stop - begin)[some], anchor))
+    if not parts:
         none = np.empty(0, np.int64)
         return none, none, none.astype(U)
-    return np.concatenate(firsts), np.concatenate(counts), np.concatenate(anchors)
+    first, count, anchor = (np.concatenate(p) for p in zip(*parts))
+    order = np.argsort(first, kind="stable")
+    return first[order], count[order], anchor[order]
 
 
 def _segment_rows(length: int):
@@ -124,14 +135,27 @@ class RunLengthIndex:
     def __init__(self, contents: list[bytes]):
         sizes = np.array([len(c) + 1 for c in contents])
         self.starts = np.concatenate(([0], np.cumsum(sizes)))
-        text = np.zeros(int(self.starts[-1]), dtype=np.int64)
-        body = np.frombuffer(b"\0".join(contents) + b"\0", np.uint8)
-        text[:] = body.astype(np.int64) + len(contents)
         ends = self.starts[1:] - 1
+        text = np.frombuffer(b"\0".join(contents) + b"\0", np.uint8).astype(np.int64) + 1
+        text[ends] = 0
+        # The first ranks come from 7 symbols at once; what follows a separator does not count, and
+        # suffixes that reach one are told apart by it, in the order of the contents.
+        key, within = text.copy(), text > 0
+        for place in range(1, 7):
+            key *= 512
+            within[len(text) - place :] = False
+            key[: len(text) - place][within[: len(text) - place]] += text[place:][
+                within[: len(text) - place]
+            ]
+            within[: len(text) - place] &= text[place:] > 0
+        order = np.argsort(key, kind="stable")
+        apart = np.append(False, (np.diff(key[order]) != 0) | ~within[order[1:]])
+        rank, width = np.empty(len(text), dtype=np.int64), 7
+        rank[order] = np.cumsum(apart)
+        text[text > 0] += len(contents)
         text[ends] = np.arange(len(contents))
         self.text, self.ends = text, np.repeat(ends, sizes)
-        rank, width = text, 1
-        while True:
+        while rank[order[-1]] < len(text) - 1:
             following = np.zeros(len(text), dtype=np.int64)
             following[: len(text) - width] = rank[width:] + 1
             key = rank * (int(rank.max()) + 2) + following
@@ -139,8 +163,6 @@ class RunLengthIndex:
             grown = np.empty(len(text), dtype=np.int64)
             grown[order] = np.cumsum(np.append(0, np.diff(key[order]) != 0))
             rank, width = grown, width * 2
-            if rank[order[-1]] == len(text) - 1:
-                break
         self.order = order
         last = text[order - 1]  # the byte before each suffix, in suffix order
         new = np.append(True, last[1:] != last[:-1])
