@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from assaymill.llm.common import columns
 
 #: Labelled pages that the model is trained on, and rounds over them.
-TRAINING_PAGES, ROUNDS = 400, 12
+TRAINING_PAGES, ROUNDS = 1200, 10
 
 # Fixed values of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -277,13 +277,32 @@ def labelled_page(draw: random.Random) -> tuple[str, list[int]]:
             links()
             out.append("</nav>" if shape == "<nav>" else "</div>")
         elif kind == "advert":
-            names = named("ad", "ads", "advert", "advertisement", "banner", "promo", "sponsored")
-            put(draw.choice(("div", "div", "aside", "section")), _prose(draw), 0, names)
+            names = named("ad", "ads", "advert", "advertisement", "adbox", "banner", "promo", "sponsored", "sponsor")
+            tag = draw.choice(("div", "div", "aside", "section"))
+            if draw.random() < 0.4:
+                out.append(f"<{tag}{names}>")
+                for _ in range(draw.randint(1, 2)):
+                    put(draw.choice(("p", "p", "h4", "div")), _prose(draw), 0)
+                out.append(f"</{tag}>")
+            else:
+                put(tag, _prose(draw), 0, names)
         elif kind == "notice":
-            names = named("cookie", "notice", "consent", "alert", "popup", "newsletter", "modal")
-            put("div", _prose(draw), 0, names)
+            names = named(
+                "cookie", "cookies", "notice", "notification", "consent", "alert", "popup", "newsletter", "modal",
+                "subscribe", "signup", "message", "warning", "privacy",
+            )
+            if draw.random() < 0.2:
+                names = draw.choice((' role="alert"', ' role="dialog"', ' role="banner"'))
+            tag = draw.choice(("div", "div", "section", "aside", "p"))
+            if tag != "p" and draw.random() < 0.5:
+                out.append(f"<{tag}{names}>")
+                put("p", _prose(draw), 0)
+                put("button", _sentence(draw, 1, 2), 0) if draw.random() < 0.5 else None
+                out.append(f"</{tag}>")
+            else:
+                put(tag, _prose(draw), 0, names)
         elif kind == "aside":
-            tag, names = draw.choice((("aside", ""), ("div", named("sidebar", "side", "related", "widget", "share"))))
+            tag, names = draw.choice((("aside", ""), ("div", named("sidebar", "side", "related", "widget", "share", "social", "recommended", "tags"))))
             out.append(f"<{tag}{names}>")
             if draw.random() < 0.5:
                 put("h3", _sentence(draw, 1, 4), 0)
@@ -300,14 +319,19 @@ def labelled_page(draw: random.Random) -> tuple[str, list[int]]:
             out.append("</form>")
         elif kind == "comments":
             tag = draw.choice(("section", "div", "ol"))
-            out.append(f"<{tag}{named('comments', 'comment', 'discussion', 'replies', 'responses')}>")
+            out.append(f"<{tag}{named('comments', 'comment', 'discussion', 'replies', 'responses', 'respond', 'thread')}>")
             if draw.random() < 0.6:
-                put("h3", _sentence(draw, 1, 3), 0)
+                put(draw.choice(("h2", "h3", "h4")), _sentence(draw, 1, 3), 0)
             for _ in range(draw.randint(1, 5)):
-                put(draw.choice(("p", "div", "li")), _prose(draw), 0, draw.choice(("", ' class="comment"')))
+                put(draw.choice(("p", "div", "li")), _prose(draw), 0, draw.choice(("", ' class="comment"', ' class="reply"')))
             out.append(f"</{tag}>")
 
-    put("title", _sentence(draw, 2, 9), 0)
+    if draw.random() < 0.08:  # a page of nothing but its text
+        for _ in range(draw.randint(1, 6)):
+            put("p", _prose(draw), 1)
+        return f"<html><body>{''.join(out)}</body></html>", labels
+    if draw.random() < 0.9:
+        put("title", _sentence(draw, 2, 9), 0)
     if draw.random() < 0.5:
         out.append("<header>" if draw.random() < 0.6 else f"<div{named('header', 'masthead', 'top', 'logo')}>")
         closing = "</header>" if out[-1] == "<header>" else "</div>"
@@ -322,33 +346,38 @@ def labelled_page(draw: random.Random) -> tuple[str, list[int]]:
     if shape == "<div>":
         shape = f"<div{named('content', 'article', 'post', 'entry', 'main', 'story', 'text')}>"
     out.append(shape)
-    put(draw.choice(("h1", "h2")), _sentence(draw, 1, 9), 1)
+    if draw.random() < 0.8:
+        put(draw.choice(("h1", "h1", "h2")), _sentence(draw, 1, 9), 1)
+    else:
+        put("p", _prose(draw), 1)
     for _ in range(draw.choice((1, 2, 4, 6, 9))):
         kind = draw.random()
-        if kind < 0.7:
+        if kind < 0.62:
             put("p", _prose(draw), 1)
-        elif kind < 0.78:
+        elif kind < 0.69:
             put(draw.choice(("h2", "h3")), _sentence(draw, 1, 6), 1)
-        elif kind < 0.84:
+        elif kind < 0.74:
             out.append(draw.choice(("<ul>", "<ol>")))
             closing = out[-1].replace("<", "</")
             for _ in range(draw.randint(1, 4)):
                 put("li", _prose(draw), 1)
             out.append(closing)
-        elif kind < 0.89:
+        elif kind < 0.79:
             put(draw.choice(("blockquote", "pre", "div")), _prose(draw), 1)
-        elif kind < 0.92:
+        elif kind < 0.81:
             out.append("<table><tr>")
             put("th", _sentence(draw, 1, 2), 1)
             put("td", _sentence(draw, 1, 4), 1)
             out.append("</tr></table>")
-        elif kind < 0.96:
+        elif kind < 0.85:
             put("p", _prose(draw) + f' <a href="/y">{_sentence(draw, 1, 3)}</a>.', 1)
         else:
-            side(draw.choice(("advert", "notice", "aside", "form")))
+            side(draw.choice(("advert", "advert", "notice", "aside", "form")))
+    if draw.random() < 0.2:
+        side(draw.choice(("comments", "comments", "advert", "notice")))
     out.append("".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", shape))))
-    for kind in ("comments", "aside", "form", "advert", "menu"):
-        if draw.random() < (0.5 if kind == "comments" else 0.25):
+    for kind in ("comments", "aside", "notice", "form", "advert", "menu"):
+        if draw.random() < (0.5 if kind == "comments" else 0.2):
             side(kind)
     if draw.random() < 0.85:
         tag, names = draw.choice((("footer", ""), ("footer", ""), ("div", named("footer", "bottom", "copyright", "legal"))))
