@@ -150,7 +150,7 @@ def text_features(text: str, linked: int, parent: str) -> tuple[str, ...]:
     size = min(n.bit_length(), 11)
     out = [f"size={size}", f"stops={min(stops, 4)}", f"links={min(4 * linked // max(n, 1), 4)}"]
     out.append(f"{parent} size={size // 2}")
-    if "©" in text or "·" in text or " | " in text:
+    if "©" in text[:40]:
         out.append("sign")
     if text[-1] in ".?!":
         out.append("ends")
@@ -248,7 +248,10 @@ def _sentence(draw: random.Random, low: int, high: int) -> str:
 
 def _prose(draw: random.Random) -> str:
     n = draw.choice((1, 1, 2, 3, 5, 8))
-    return " ".join(_sentence(draw, 1, 18) + draw.choice(".....?!") for _ in range(n))
+    text = " ".join(_sentence(draw, 1, 18) + draw.choice(".....?!") for _ in range(n))
+    if draw.random() < 0.1:  # signs, shouting and tables written as text are no one's mark
+        text = draw.choice((text.upper(), text.replace(" ", " | "), text.replace(" ", "%% "), "&copy; " + text))
+    return text
 
 
 def labelled_page(draw: random.Random) -> tuple[str, list[int]]:
