@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.llm.common import columns, stored
+from assaymill.llm.shingles import spans_hashes
 
 #: Tokens of a sequence, and the id that ends a document.
 LENGTH, END = 2048, 0
@@ -30,19 +31,46 @@ LENGTH, END = 2048, 0
 GROUP = 8192
 #: Parts of words whose ids a worker remembers, and their longest.
 REMEMBERED, LONGEST = 1_000_000, 48
-
-# The tokenizer's split of lower-case text, for the characters up to U+00FF.
-_LETTER, _DIGIT, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r" \t-\r\x85\xa0"
-_PART = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
+#: Texts that are encoded together.
+AT_ONCE = 256
+
+# The tokenizer's split of lower-case text, for the characters up to U+00FF: runs of letters, single
+# digits, runs of others, and an apostrophe that begins a part with the ending after it.
+_LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r" \t-\r\x85\xa0"
+_ENDINGS = ("s", "t", "m", "d", "re", "ve", "ll")
+_KIND = np.full(256, 3, dtype=np.uint8)
+for _number, _class in ((0, _SPACES), (1, _LETTERS), (2, _DIGITS)):
+    _KIND[[ord(c) for c in map(chr, range(256)) if re.match(f"[{_class}]", c)]] = _number
 #: In other text, what stands between ASCII white space; the tokenizer never looks across it.
 _WORD = re.compile(r"[^ \t-\r]+")
 
 
+def split_parts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of lower-case Latin-1 text begin, and their lengths."""
+    kind = _KIND[data]
+    starts = kind != 0
+    starts[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    marks = np.flatnonzero(starts & (data == 0x27))
+    after = np.append(data, np.zeros(3, np.uint8))
+    for ending in _ENDINGS:
+        own = marks
+        for place, letter in enumerate(ending.encode(), 1):
+            own = own[after[own + place] == letter]
+        starts[own + 1] = False
+        following = own + 1 + len(ending)
+        following = following[following < len(data)]
+        starts[following[kind[following] != 0]] = True
+    starts = np.flatnonzero(starts)
+    written = np.append(0, np.cumsum(kind != 0))
+    return starts, np.diff(written[np.append(starts, len(data))])
+
+
 class WordTokenizer:
-    """Ids of texts as bytes, little-endian unsigned 32-bit, for a tokenizer that drops white space.
+    """Ids of texts, as little-endian unsigned 32-bit, for a tokenizer that drops white space.
 
-    Such a tokenizer treats every word by itself, so parts of words are encoded once and remembered.
-    Text beyond U+00FF is taken word by word, and a text that holds a special token as a whole.
+    Such a tokenizer treats every word by itself, so parts of words are encoded once and
+    remembered by a 64-bit hash. Text beyond U+00FF is taken word by word, and a text that holds a
+    special token as a whole.
     """
 
     def __init__(self, path: str):
@@ -51,31 +79,64 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.known: dict[int | str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def __call__(self, text: str) -> bytes:
-        if "<|" in text and any(s in text.lower() for s in self.special):
-            return self._encode([text])[0]
-        try:
-            text.encode("latin-1")
-            parts = _PART.findall(text.lower())
-        except UnicodeEncodeError:
-            parts = _WORD.findall(text)
-        known = self.known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({p for p in parts if p not in known})
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(texts)
+        plain: list[int] = []
+        raw: list[bytes] = []
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for number, text in enumerate(texts):
+            if "<|" in text and any(s in text.lower() for s in self.special):
+                out[number] = self._encode([text])[0]
+                continue
+            try:
+                raw.append(text.lower().encode("latin-1"))
+                plain.append(number)
+            except UnicodeEncodeError:
+                out[number] = self._by_words(text)
+        for number, ids in zip(plain, self._by_parts(raw)):
+            out[number] = ids
+        return out
+
+    def _by_words(self, text: str) -> bytes:
+        words = _WORD.findall(text)
+        new = list({w for w in words if w not in self.known})
         fresh = dict(zip(new, self._encode(new)))
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
-        return b"".join([fresh[p] if p in fresh else known[p] for p in parts])
+        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
+        return b"".join([fresh[w] if w in fresh else self.known[w] for w in words])
+
+    def _by_parts(self, texts: list[bytes]) -> list[bytes]:
+        joined = b" ".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        starts, lengths = split_parts(data)
+        if not len(starts):
+            return [b""] * len(texts)
+        hashes = spans_hashes(data, starts, lengths)
+        hashes, first, part = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = hashes.tolist()
+        ids = list(map(self.known.get, keys))
+        new = [i for i, own in enumerate(ids) if own is None]
+        spans = [(int(starts[f]), int(lengths[f])) for f in first[new]]
+        fresh = self._encode([joined[at : at + n].decode("latin-1") for at, n in spans])
+        for i, (_, n), own in zip(new, spans, fresh):
+            ids[i] = own
+            if n <= LONGEST:
+                self.known[keys[i]] = own
+        sizes = np.array([len(own) // 4 for own in ids])
+        pool = np.frombuffer(b"".join(ids), dtype="<u4")
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[part]
+        ends = np.cumsum(counts)
+        tokens = pool[np.repeat(begins[part] - (ends - counts), counts) + np.arange(ends[-1])]
+        borders = np.cumsum([len(t) + 1 for t in texts])
+        upto = np.append(0, ends)[np.searchsorted(starts, borders)]
+        return [tokens[a:b].tobytes() for a, b in zip(np.append(0, upto[:-1]), upto)]
 
 
 @lru_cache(maxsize=2)
@@ -92,11 +153,13 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for number, text in enumerate(batch.column(1)):
-                ids = encode(text.as_py() or "") + end
-                for piece, start in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[start : start + 4 * length]
-                    rows.append((number, piece, start // 4, len(part) // 4, zlib.crc32(part)))
+            for low in range(0, batch.num_rows, AT_ONCE):
+                texts = [t or "" for t in batch.column(1)[low : low + AT_ONCE].to_pylist()]
+                for number, ids in enumerate(encode(texts), low):
+                    ids += end
+                    for piece, start in enumerate(range(0, len(ids), 4 * length)):
+                        part = ids[start : start + 4 * length]
+                        rows.append((number, piece, start // 4, len(part) // 4, zlib.crc32(part)))
             owner, *numbers = (np.array(c, dtype=np.int64) for c in zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -37,6 +37,15 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def spans_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes; spans stand in order and do not overlap."""
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    begins = np.cumsum(lengths) - lengths
+    place = np.arange(len(owner)) - begins[owner]
+    value = _BYTES[data[starts[owner] + place]] * _powers(int(place.max()) + 1)[place]
+    return mix(np.add.reduceat(value, begins) + lengths.astype(U))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every word, in order.
 
