@@ -27,7 +27,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage.
 
     The folder is on storage that all executors see, so a lost executor costs
-    only the tasks it was running.
+    only the tasks it was running. An aggregate that is stored before a join on its keys also lets
+    adaptive execution split the join's hot keys, which it cannot above an aggregate.
     """
     folder = shared_folder(df.sparkSession, purpose)
     df.write.parquet(folder)

@@ -168,10 +168,11 @@ def _links(percent: int):
 def linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``sketched`` rows, and ``set_key`` with its ``component_id``."""
     rows = stored(sketched(docs, k, BAND_ROWS[percent]), "sketches")
-    classes = (
+    classes = stored(
         rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("class_id"))
+        .agg(F.min("doc_id").alias("class_id")),
+        "classes",
     )
     # One row stands for a class; of rows that share an id, the one of the least set.
     heads = classes.groupBy("class_id").agg(F.min("set_key").alias("head_key"))
@@ -181,10 +182,12 @@ def linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]
         .dropDuplicates(["class_id"])
     )
     in_bands = stored(members.select("class_id", F.explode("bands").alias("band")), "bands")
-    buckets = (
+    buckets = stored(
         in_bands.groupBy("band")
         .agg(F.min("class_id").alias("least"), F.max("class_id").alias("last"))
         .where("least < last")
+        .select("band", "least"),
+        "buckets",
     )
     stars = in_bands.join(buckets, "band").where("class_id > least")
     clusters = stored(components(stars.select(F.col("least").alias("a"), F.col("class_id").alias("b"))), "clusters")
@@ -229,9 +232,10 @@ def linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]
     )
     edges = dealt.groupBy("group").applyInPandas(_links(percent), "a bigint, b bigint")
     found = stored(components(edges), "components")
-    return rows, classes.join(found, classes["class_id"] == found["node"], "left").select(
+    keys = classes.join(found, classes["class_id"] == found["node"], "left").select(
         F.col("set_key").alias("key"), F.coalesce("component", "class_id").alias("component_id")
     )
+    return rows, stored(keys, "class-components")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:

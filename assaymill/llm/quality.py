@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.llm.common import NOT_SPACE, columns, words
+from assaymill.operators.parse import compute_once
 
 #: Hash buckets of the two multinomials: the model's size, whatever the corpus.
 BUCKETS = 1 << 14
@@ -188,4 +189,6 @@ def keep_good(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _judged(docs, labels, threshold, buckets).where("kept").select("row.*")
+    judged = _judged(docs, labels, threshold, buckets).select("row", "kept")
+    # A plain filter would be moved below the steps and repeat each in the next one's place.
+    return compute_once(judged, "stays", F.col("kept")).where("stays").select("row.*")

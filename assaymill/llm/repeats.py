@@ -333,17 +333,20 @@ def repeated_segments(texts: DataFrame, length: int) -> DataFrame:
     schema = f"id {kind}, text_hash bigint, first int, windows int, anchor bigint, digest bigint"
     rows = stored(texts.mapInArrow(_segment_rows(length), schema), "segments")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    often = stored(often, "often")
     rows = stored(
-        rows.join(often, "anchor").withColumn("at", F.xxhash64("id", "text_hash", "first")), "repeated-anchors"
+        rows.join(often, "anchor").withColumn("at", F.xxhash64("id", "text_hash", "first")),
+        "repeated-anchors",
     )
     contents = stored(
         rows.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), F.min("at").alias("at")), "contents"
     )
-    open_anchors = (
+    open_anchors = stored(
         contents.groupBy("anchor")
         .agg(F.count("*").alias("contents"), F.min("copies").alias("fewest"))
         .where("contents > 1 AND fewest = 1")
-        .select("anchor", (F.col("contents") > MOST).alias("many"))
+        .select("anchor", (F.col("contents") > MOST).alias("many")),
+        "open-anchors",
     )
     wanted = (
         contents.join(open_anchors, "anchor")

@@ -21,26 +21,25 @@ from pyspark.sql import functions as F
 
 from assaymill.llm.common import columns, stored
 
-# The base patterns, in the order of their kinds, and the least length that counts.
-ASSIGN = (
-    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
-    r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
-    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-)
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
-ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
-
-#: Candidates of the battery: runs of code characters that are long enough to test.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "random")
-# What finds the documents that have a kind at all; a maximal run that is long enough is the match.
+
+# The base patterns and the least length of the assigned value. For the two kinds that
+# match a whole run of characters, the least length is part of the pattern. An assignment too short
+# still uses up its text, so its length is looked at after the match.
 PATTERNS = {
-    "assign": ASSIGN,
+    "assign": (
+        r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+        r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+        r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    ),
     "access": r"AKIA[A-Z0-9]{14,}",
     "hex": r"[0-9a-f]{16,}",
-    "random": CANDIDATE,
+    # Candidates of the battery: whole runs of code characters that are long enough to test.
+    "random": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}",
 }
+ASSIGNED = 12
+
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -76,7 +75,8 @@ def matches(rows: DataFrame) -> DataFrame:
     for number, kind in enumerate(KINDS):
         pieces = F.split(text, PATTERNS[kind])
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-        parts.append(F.when(text.rlike(PATTERNS[kind]), F.transform(F.arrays_zip(pieces, found), _cell(number))))
+        cells = F.transform(F.arrays_zip(pieces, found), _cell(number))
+        parts.append(F.when(text.rlike(PATTERNS[kind]), cells))
     cells = F.array_compact(F.flatten(F.array_compact(F.array(*parts))))
     every = rows.select("id", "text_hash", F.inline_outer(cells)).where("value IS NOT NULL")
     upto = Window.partitionBy("id", "text_hash", "kind").orderBy("i")
@@ -84,7 +84,7 @@ def matches(rows: DataFrame) -> DataFrame:
     value = F.col("value")
     long_enough = F.when(
         F.col("kind") == 0,
-        F.char_length(F.regexp_extract(value, ASSIGN, 2)) >= ASSIGN_VALUE,
+        F.char_length(F.regexp_extract(value, PATTERNS["assign"], 2)) >= ASSIGNED,
     ).otherwise(F.lit(True))
     return (
         every.dropDuplicates(["id", "text_hash", "kind", "i"])

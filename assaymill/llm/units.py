@@ -106,11 +106,14 @@ def remove_repeated_units(docs: DataFrame, unit: str = "line", min_words: int =
     rows = stored(texts.mapInArrow(_unit_rows(separator, min_words), schema), "units")
     # One row per task and digest reaches the shuffle, whatever repeats.
     first = rows.groupBy("digest").agg(
-        F.min("id").alias("first_id"), F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nameless")
+        F.min("id").alias("first_id"),
+        F.count("*").alias("n"),
+        F.count_if(F.col("id").isNull()).alias("nameless"),
     )
-    first = first.where("n > 1").withColumn("first_id", F.when(F.col("nameless") == 0, F.col("first_id")))
+    named = F.when(F.col("nameless") == 0, F.col("first_id")).alias("first_id")
+    first = stored(first.where("n > 1").select("digest", named), "first-units")
     gone = (
-        rows.join(first.select("digest", "first_id"), "digest")
+        rows.join(first, "digest")
         .where(F.col("again") | ~F.col("id").eqNullSafe(F.col("first_id")))
         .groupBy(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
         .agg(F.collect_set("place").alias("gone"))

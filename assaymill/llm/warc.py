@@ -238,9 +238,8 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE) -> tuple[str,
     rows = columns(pages, page_id="page_id", url="url", html="html").withColumn(
         "key", F.sha2(F.coalesce("html", F.lit("")), 256)
     )
-    groups = (
-        rows.groupBy("key").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n")
-    )
+    groups = rows.groupBy("key").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
+    groups = stored(groups.where("n > 1").drop("n"), "equal-payloads")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root)
     manifest = (
