@@ -25,7 +25,7 @@ from assaymill.plans.candidates import (
 )
 from assaymill.plans.experiments import validated_events
 from assaymill.schemas import CANDIDATE_COLUMNS
-from assaymill.sources.files import stream_raw
+from assaymill.sources.files import batch_size, stream_raw
 from assaymill.sources.tables import read_table, stream_table
 from assaymill.streaming.layers import (
     CANDIDATES,
@@ -69,15 +69,15 @@ def declare(spark: SparkSession, source: str | None = None) -> None:
 
     @dp.table(**layer(VALIDATED, partition_cols=[VERDICT]))
     def validated():
-        return with_verdict(validated_events(stream_table(spark, RAW)))
+        return with_verdict(validated_events(stream_table(spark, RAW, **batch_size(batches))))
 
     @dp.table(**layer(VALID))
     def valid():
-        return of_verdict(stream_table(spark, VALIDATED), VALID)
+        return of_verdict(stream_table(spark, VALIDATED, **batch_size(batches)), VALID)
 
     @dp.table(**layer(QUARANTINED))
     def quarantined():
-        return of_verdict(stream_table(spark, VALIDATED), QUARANTINED)
+        return of_verdict(stream_table(spark, VALIDATED, **batch_size(batches)), QUARANTINED)
 
     # Query functions may not run jobs, so what the batch plan checkpoints is a
     # table of its own here: the summary, which scoring reads twice, and the

@@ -23,7 +23,7 @@ from assaymill.plans.candidates import material_candidates
 from assaymill.plans.experiments import validated_events
 from assaymill.schemas import VALIDATED_COLUMNS
 from assaymill.session import setting
-from assaymill.sources.files import stream_raw
+from assaymill.sources.files import batch_size, stream_raw
 from assaymill.sources.tables import read_table, stream_table
 
 # --- fixed values: table names ---
@@ -86,14 +86,14 @@ def run_available(
     ``options`` go to the file source, see ``stream_raw``; the size of a batch among them
     holds for the later streams too. ``scoring`` goes to ``material_candidates``.
     """
-    batch_size = {k: v for k, v in options.items() if k.lower().endswith("pertrigger")}
+    batches = batch_size(options)
     create_database(spark, layers)
     append(stream_raw(spark, source, **options), layers, RAW)
-    validate(spark, layers, **batch_size)
+    validate(spark, layers, **batches)
     if split == "views":
         publish_views(spark, layers)
     else:
-        publish_tables(spark, layers, **batch_size)
+        publish_tables(spark, layers, **batches)
     refresh_candidates(spark, layers, **(scoring or {}))
 
 
@@ -168,8 +168,21 @@ def publish_views(spark: SparkSession, layers: Layers) -> None:
 def publish_tables(spark: SparkSession, layers: Layers, **options) -> None:
     """The valid and the quarantined layer as tables that can be streamed on."""
     for name in (VALID, QUARANTINED):
-        validated = stream_table(spark, layers.table(VALIDATED), **options)
-        append(of_verdict(validated, name), layers, name)
+        append(of_verdict(stream_validated(spark, layers, **options), name), layers, name)
+
+
+def stream_validated(spark: SparkSession, layers: Layers, **options) -> DataFrame:
+    """The validated rows as a stream, verdict included.
+
+    A new catalog that takes up a partitioned folder keeps no columns for it and finds them anew on
+    each batch read, which a stream cannot do; then the folder is streamed with the columns named.
+    """
+    table = layers.table(VALIDATED)
+    columns, rows = read_table(spark, table).schema, stream_table(spark, table, **options)
+    if set(columns.names) <= set(rows.columns):
+        return rows
+    files = spark.readStream.format(layers.table_format).schema(columns).options(**options)
+    return files.load(layers.location(VALIDATED))
 
 
 def refresh_candidates(spark: SparkSession, layers: Layers, **scoring) -> None:
