@@ -11,10 +11,9 @@ from assaymill.llm.common import stored
 def _large_star(links: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (
-        both.where("b > a").join(least, "a").select(F.col("b"), F.col("m").alias("a")).select("a", "b").distinct()
-    )
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+    larger = both.where("b > a").join(least, "a")
+    return larger.select(F.col("m").alias("a"), "b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -33,8 +32,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has long ``a`` and ``b``; loops and nulls are left out. Each round is written to
     the shared folder, and the rounds end when nothing changes, after about the logarithm
-    of the longest path. A node with very many links is one row per task in the aggregates;
-    joins on it are split by adaptive execution.
+    of the longest path. A node with very many links is one row per task in the aggregates, which
+    are written before the joins, so that adaptive execution can split the node's rows there.
     """
     links = stored(
         links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
