@@ -2,7 +2,9 @@
 
 Two multinomials over hashed words and word pairs are counted: one on trusted
 documents, one on the whole corpus. A document's score is the mean over its n-grams of
-``log(p_trusted / p_corpus)``; it stays when the score reaches a fixed threshold.
+``log(p_trusted / p_corpus)``; it stays when the score reaches a fixed threshold and the
+document has no marker: a word or pair that labelled toxic documents have far more often
+than trusted ones. One marker is enough, so the length of a text dilutes nothing.
 """
 
 from __future__ import annotations
@@ -10,16 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import NOT_SPACE, columns, words
+from assaymill.llm.common import NOT_SPACE, columns, stored, words
 from assaymill.operators.parse import compute_once
 
 #: Hash buckets of the two multinomials: the model's size, whatever the corpus.
 BUCKETS = 1 << 14
 #: Trusted documents that are counted, about: a sample by hash of the id above that.
 TRUSTED = 20_000
-#: Mean log ratio per n-gram below which a document goes: of labelled documents that pass the base
-#: rules, it keeps 99.9 % of the good ones and 3 % of the others.
+#: Mean log ratio per n-gram below which a document goes.
 THRESHOLD = -0.04
+#: Log ratio of the shares of toxic and trusted documents that have a gram, less two standard errors, from
+#: which the gram is a marker. With grams of one half of the labelled documents of the given tables, it marks
+#: 187 of 194 toxic documents of the other half that pass the base rules, and 15 of 1,486 trusted ones.
+MARKER = 1.5
+#: Markers that the model has at most, the strongest first; fewer toxic documents prove nothing.
+MARKERS, LEAST_TOXIC = 1 << 14, 3
 #: Words of a window that counts as repeated, and the base rules' limits.
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 8, 20, 30
 
@@ -41,9 +48,24 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
         .where("quality = 1 AND toxic = 0")
         .select(F.col("doc_id").alias("trusted_id"))
     )
+    return _sample(good, "trusted_id", most)
+
+
+def toxic_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
+    """Ids that a label row calls toxic, ``most`` of them or so, taken like the trusted ones."""
+    toxic = (
+        columns(labels, toxic_id="doc_id", toxic="toxic")
+        .where("toxic_id IS NOT NULL AND toxic = 1")
+        .select("toxic_id")
+        .distinct()
+    )
+    return _sample(toxic, "toxic_id", most)
+
+
+def _sample(ids: DataFrame, name: str, most: int) -> DataFrame:
     share = F.least(F.lit(1.0), most / F.greatest(F.count("*"), F.lit(1)))
-    cutoff = good.groupBy().agg((share * (1 << 30)).cast("long").alias("cutoff")).scalar()
-    return good.where(F.pmod(F.xxhash64("trusted_id"), F.lit(1 << 30)) < cutoff)
+    cutoff = ids.groupBy().agg((share * (1 << 30)).cast("long").alias("cutoff")).scalar()
+    return ids.where(F.pmod(F.xxhash64(name), F.lit(1 << 30)) < cutoff)
 
 
 def _hashes(text: Column) -> Column:
@@ -97,6 +119,42 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     )
 
 
+def toxic_markers(docs: DataFrame, trusted: DataFrame, toxic: DataFrame) -> DataFrame:
+    """One row: ``markers``, the hashes of grams that mark toxic documents.
+
+    A document counts once for a gram, and equal texts once. The labelled documents are bounded by
+    twice ``TRUSTED`` ids. The null gram that every document has counts the documents.
+    """
+    judged = trusted.select(F.col("trusted_id").alias("judged_id"), F.lit(False).alias("is_toxic")).unionByName(
+        toxic.select(F.col("toxic_id").alias("judged_id"), F.lit(True).alias("is_toxic"))
+    )
+    counted = (
+        docs.join(F.broadcast(judged), docs["doc_id"] == judged["judged_id"])
+        .select("is_toxic", "text")
+        .distinct()
+        .select("is_toxic", _hashes(F.col("text")).alias("h"))
+        .select("is_toxic", F.explode(F.array_append(F.array_distinct(F.concat("h", _pairs())), F.lit(None))).alias("gram"))
+        .groupBy("gram")
+        .agg(F.count_if("is_toxic").alias("x"), F.count_if(~F.col("is_toxic")).alias("t"))
+        .where(F.col("gram").isNull() | (F.col("x") >= LEAST_TOXIC))
+    )
+    counted = stored(counted, "toxic-grams")
+    every = counted.where("gram IS NULL").select("x", "t").first() or (0, 0)
+    ratio = (
+        f"ln((x + 0.5D) / ({every[0]} + 1D)) - ln((t + 0.5D) / ({every[1]} + 1D))"
+        " - 2 * sqrt(1 / (x + 0.5D) + 1 / (t + 0.5D))"
+    )
+    return (
+        counted.where("gram IS NOT NULL")
+        .select("gram", F.expr(ratio).alias("ratio"))
+        .where(F.col("ratio") >= MARKER)
+        .orderBy(F.desc("ratio"), "gram")
+        .limit(MARKERS)
+        .groupBy()
+        .agg(F.collect_list("gram").alias("markers"))
+    )
+
+
 def _base(text: Column) -> dict[str, Column]:
     some = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(some, "\n"), lambda line: line.rlike(NOT_SPACE))
@@ -142,7 +200,9 @@ def _repeat_words() -> list[tuple[str, str]]:
 
 def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int) -> DataFrame:
     """``row`` with all input columns, the counts and the verdict: no shuffle of documents."""
-    ratios = log_ratios(columns(docs, doc_id="doc_id", text="text"), trusted_ids(labels), buckets)
+    texts, trusted = columns(docs, doc_id="doc_id", text="text"), trusted_ids(labels)
+    ratios = log_ratios(texts, trusted, buckets)
+    markers = toxic_markers(texts, trusted, toxic_ids(labels))
     text = F.col("row.text")
     base = _base(text)
     out = docs.select(F.struct("*").alias("row")).select(
@@ -158,6 +218,7 @@ def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int)
     )
     return (
         out.withColumn("ratios", ratios.scalar())
+        .withColumn("markers", markers.scalar())
         .select(
             "row",
             F.size("h").cast("long").alias("n_words"),
@@ -166,20 +227,21 @@ def _judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int)
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
             "n_repeat_words",
             (score / F.greatest(F.size("h") + F.size("pairs"), F.lit(1))).alias("llr"),
+            (F.arrays_overlap("h", "markers") | F.arrays_overlap("pairs", "markers")).alias("marked"),
         )
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+        .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold) & ~F.col("marked"))
     )
 
 
 def quality_rules(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS
 ) -> DataFrame:
-    """One row per document: counts, ``base_failed``, ``llr`` and ``kept``.
+    """One row per document: counts, ``base_failed``, ``llr``, ``marked`` and ``kept``.
 
     A null or empty text has no words and fails the base rules. Repeated rows count and
     are answered each. Without a trusted document every score is 0, and a document without
-    n-grams scores 0. An empty table gives an empty result. Other columns are not looked at.
+    n-grams scores 0. Without a toxic document nothing is marked. An empty table gives an empty result. Other columns are not looked at.
     """
     judged = _judged(docs, labels, threshold, buckets)
     return judged.select(F.col("row.doc_id").alias("doc_id"), *judged.columns[1:])

@@ -54,6 +54,29 @@ def test_quality_of_nothing(nothing, odd, labels):
     assert quality_rules(odd, labels.limit(0)).where("llr <> 0").count() == 0
 
 
+def test_toxic_words_in_long_texts(table, spark):
+    draw = random.Random(11)
+    plain = [f"w{i}" for i in range(400)]
+    docs, labelled = [], []
+    for i in range(300):
+        words = draw.choices(plain, k=draw.choice((60, 2000)))
+        toxic = i % 5 == 0
+        if toxic:
+            words[draw.randrange(len(words))] = draw.choice(("scum", "vile"))
+        docs.append((i, " ".join(words)))
+        if i < 250:
+            labelled.append((i, 1, int(toxic)))
+    labels = spark.createDataFrame(labelled, "doc_id bigint, quality int, toxic int")
+    found = {r["doc_id"]: r for r in quality_rules(table(*docs), labels).collect()}
+    assert {i for i, r in found.items() if r["marked"]} == set(range(0, 300, 5))
+    assert not any(found[i]["kept"] for i in range(0, 300, 5))
+    diluted = [i for i in range(0, 300, 5) if found[i]["llr"] >= THRESHOLD]
+    assert len(diluted) > 20 and max(diluted) >= 250
+    assert not {r["doc_id"] for r in keep_good(table(*docs), labels).collect()} & set(range(0, 300, 5))
+    none = quality_rules(table(*docs), labels.where("toxic = 0"))
+    assert none.where("marked").count() == 0
+
+
 def test_trusted_ids_are_a_bounded_sample(spark):
     labels = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     assert 800 < trusted_ids(labels, 1000).count() < 1200
