@@ -263,3 +263,27 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is the one kept of its group, with all their columns."""
     gone = near_duplicates(docs, k, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def keep_one_row(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, with all its columns: the one of the least id.
+
+    Unlike in ``keep_one``, rows that repeat an id or have none are rows like all others, as each row
+    gets a key of its own. Of rows that share the least id, the one of the least text hash stays; rows
+    without an id stay only in groups without any. Texts without words are linked with nothing, so all
+    their rows stay.
+    """
+    # The keys are written, so that every later read sees the same ones.
+    keyed = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_key")), "keyed-rows")
+    rows, keys = linked(keyed.select(F.col("row_key").alias("doc_id"), F.col("row.text").alias("text")), k, percent)
+    placed = rows.join(keys, rows["set_key"] == keys["key"]).select(F.col("doc_id").alias("placed_key"), "component_id")
+    order = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.xxhash64("row.text"), F.col("row_key").alias("first_key"))
+    ranked = keyed.select("row_key", order.alias("rank"))
+    ranked = stored(
+        ranked.join(placed, ranked["row_key"] == placed["placed_key"]).select("row_key", "rank", "component_id"), "ranked-rows"
+    )
+    first = ranked.groupBy("component_id").agg(F.min("rank").alias("least"), F.count("*").alias("n"))
+    first = stored(first.where("n > 1").select(F.col("component_id").alias("group_id"), "least.first_key"), "first-rows")
+    gone = ranked.join(first, ranked["component_id"] == first["group_id"]).where("row_key <> first_key")
+    gone = gone.select(F.col("row_key").alias("gone_key"))
+    return keyed.join(gone, keyed["row_key"] == gone["gone_key"], "left_anti").select("row.*")

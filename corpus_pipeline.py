@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assaymill.llm.common import stored, table
 from assaymill.llm.decontaminate import keep_clean
-from assaymill.llm.near_duplicates import keep_one
+from assaymill.llm.near_duplicates import keep_one_row
 from assaymill.llm.packing import pack
 from assaymill.llm.quality import keep_good
 from assaymill.llm.secret_scan import redact
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: five words, a similarity of 0.8."""
-    return keep_one(docs)
+    """One row of each near-duplicate group: five words, a similarity of 0.8."""
+    return keep_one_row(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,6 +139,22 @@ def test_near_duplicates_of_odd_rows(odd, nothing):
     assert near_duplicates(nothing).count() == 0
 
 
+def test_one_row_of_each_group(table, odd, nothing):
+    import corpus_pipeline
+
+    other = " ".join(f"x{i}" for i in range(50))
+    docs = [*ODD, (None, other), (None, other.upper()), (9, "a b c d e f g h"), (9, "q r s t u v w x y"), (9, "a b c d e f g h")]
+    frame = table(*docs)
+    kept = corpus_pipeline.near_duplicates(None, frame, "")
+    assert kept.columns == frame.columns
+    found = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    left = [d for d in ODD if d[0] in (1, 2, 3, 4, 7) or d[1] is None] + [(5, PROSE)]
+    null_text = next(t for i, t in found if i is None and t)
+    assert null_text.lower() == other
+    assert found == Counter({*left, (None, null_text), (9, "a b c d e f g h"), (9, "q r s t u v w x y")})
+    assert corpus_pipeline.near_duplicates(None, nothing, "").count() == 0
+
+
 def test_similar_pairs():
     draw = np.random.default_rng(2)
     sets = [np.unique(draw.integers(0, 60, 40)) for _ in range(40)]
