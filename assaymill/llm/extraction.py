@@ -28,6 +28,8 @@ TRAINING_PAGES, ROUNDS = 1200, 10
 # Fixed values of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "select")
+#: Of these, those that a browser reads to the end of the page if nothing closes them.
+TO_THE_END = ("script", "style", "textarea")
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt"
     " ruby s samp small span strike strong sub sup time tt u var wbr".split()
@@ -51,6 +53,19 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _PARTS = re.compile(r"[a-z]+")
 
 
+def _closed(html: str, tag: str) -> dict[int, int]:
+    """Starts of the elements ``tag`` that an end tag closes, with the start of that end tag."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    for found in re.finditer(rf"<(/?){tag}(?![^\s/>])[^<>]*>?", html, re.I):
+        if not found[1]:
+            if tag != "svg" or not found[0].endswith("/>"):
+                opened.append(found.start())
+        elif opened:
+            out[opened.pop()] = found.start()
+    return out
+
+
 class _Open:
     """An open element: its tag and the features of it and its ancestors."""
 
@@ -96,6 +111,7 @@ def blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
                 linked += len(text.strip())
 
     at, size = 0, len(html)
+    closed: dict[str, dict[int, int]] = {}
     while at < size:
         token = _TOKEN.search(html, at)
         if not token:
@@ -125,10 +141,17 @@ def blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
                 close(*CLOSES[tag])
             else:
                 close("p", ("td", "th", "li", "table", "div", "article", "section", "button"))
-        if tag in RAW:
+        if tag in TO_THE_END:
             end = re.compile(rf"</{tag}\b", re.I).search(html, at)
             at = end.start() if end else size
             continue
+        if tag in RAW:
+            # Self-closed, or never closed: only the tag is left out, and what follows is read on.
+            if tag != "svg" or not token[0].endswith("/>"):
+                if tag not in closed:
+                    closed[tag] = _closed(html, tag)
+                at = closed[tag].get(token.start(), at)
+            continue
         if tag in VOID:
             continue
         parent = stack[-1]

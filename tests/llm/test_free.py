@@ -241,6 +241,34 @@ def test_run_length_index():
     assert len(index.heads) < len(index.text)
 
 
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<svg/>",
+        '<svg class="a>b" />',
+        "<noscript>",
+        "<SELECT>",
+        "<template>",
+        "<iframe src='x'>",
+        "<svg>",
+        "<noscript/><noscript>gone</noscript>",
+        "<svg><svg>gone</svg><g/>gone</svg>",
+        "<select-box></select-box><select><option>gone</select>",
+    ],
+)
+def test_pages_go_on_after_elements_without_an_end(head):
+    page = f"<header>{head}</header><p>The first.</p><p>The second.</p>"
+    assert [b[0] for b in extraction.blocks(page)] == ["The first.", "The second."]
+    name = head.strip("<").lower().split(">")[0].split("/")[0].split()[0]
+    again = f"{page}<{name}>gone</{name}><p>The third.</p>"
+    assert [b[0] for b in extraction.blocks(again)] == ["The first.", "The second.", "The third."] or "-" in name
+
+
+def test_raw_texts_end_the_page():
+    for tag in ("script", "style", "textarea"):
+        assert [b[0] for b in extraction.blocks(f"<p>One.</p><{tag}>x<p>y</p>")] == ["One."]
+
+
 def test_segments_cover_every_window():
     text = np.frombuffer(PROSE.encode() * 3, np.uint8)
     first, count, _ = segments(text)
