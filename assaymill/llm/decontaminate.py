@@ -62,9 +62,14 @@ def windows(df: DataFrame, span: int, prints: DataFrame | None = None) -> DataFr
     return out.select(*others, "s", "fp", window.alias("window"))
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct windows with their length, kept hash and the sorted items that have them."""
-    items = columns(benchmark, item="item_id", text="text").where("item_id IS NOT NULL")
+def benchmark_windows(benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+    """Distinct windows with their length, kept hash and the sorted items that have them.
+
+    With ``nameless``, rows without an id have windows too, and are in no list of items.
+    """
+    items = columns(benchmark, item="item_id", text="text")
+    if not nameless:
+        items = items.where("item IS NOT NULL")
     items = items.select(F.col("item").cast("string").alias("item"), item_words(F.col("text")).alias("words"))
     items = stored(items.where(F.size("words") > 0), "benchmark-words")
     short = F.size("words") < SPAN
@@ -124,12 +129,12 @@ def document_hits(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+def contamination(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame | None:
     """Hit documents: ``hit_id``, ``hit_hash``, ``n_hit``, ``n_items``, ``items_sha256``.
 
     Documents with the same sets of items share one list of items. None if no item has words.
     """
-    found = benchmark_windows(benchmark)
+    found = benchmark_windows(benchmark, nameless)
     hits = document_hits(docs, found)
     if hits is None:
         return None
@@ -198,8 +203,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
-    hits = contamination(docs, benchmark)
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    Passages of benchmark rows without an id count here, as a verdict needs no id.
+    """
+    hits = contamination(docs, benchmark, nameless=True)
     if hits is None:
         return docs
     rows = _keyed(docs)

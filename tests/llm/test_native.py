@@ -159,6 +159,12 @@ def test_decontamination_of_odd_rows(spark, odd, nothing):
     assert keep_clean(odd, benchmark.limit(0)).count() == len(ODD)
 
 
+def test_passages_without_an_item_id(spark, odd):
+    nameless = spark.createDataFrame([(None, PROSE), (1, "not in any text")], "item_id bigint, text string")
+    kept = Counter(r["doc_id"] for r in keep_clean(odd, nameless).collect())
+    assert kept == Counter(i for i, t in ODD if PROSE.lower() not in (t or "").lower())
+
+
 def digest(spans):
     import hashlib
 
