@@ -19,7 +19,7 @@ from assaymill.plans.candidates import (
 )
 from assaymill.plans.experiments import valid_events, validated_events
 from assaymill.schemas import CANDIDATE_COLUMNS
-from conftest import EVENTS, changed
+from sample_events import EVENTS, changed
 
 
 @pytest.fixture

@@ -15,7 +15,7 @@ from assaymill.operators.contract import (
     report,
 )
 from assaymill.session import setting
-from conftest import EVENTS, Dropped, changed, text
+from sample_events import EVENTS, Dropped, changed, text
 
 MATERIAL = "experiment.material"
 ITEMS = MATERIAL + ".composition"

@@ -18,7 +18,7 @@ from assaymill.plans.candidates import (
 from assaymill.session import setting
 from assaymill.plans.experiments import valid_events, validated_events
 from assaymill.operators.dedup import latest_per_key
-from conftest import EVENTS
+from sample_events import EVENTS
 
 SF = "/root/testdata/sf0.001"
 

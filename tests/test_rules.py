@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
 from assaymill.schemas import VALIDATED_COLUMNS
 from assaymill.session import setting
-from conftest import EVENTS, Dropped, changed, text
+from sample_events import EVENTS, Dropped, changed, text
 
 EXPERIMENT = "experiment."
 MATERIAL = "experiment.material."

@@ -19,7 +19,7 @@ from assaymill.streaming.layers import (
     run_available,
     validate,
 )
-from conftest import EVENTS, changed, text
+from sample_events import EVENTS, changed, text
 
 COMPARED = [c for c in VALIDATED_COLUMNS if c not in ("ingested_at", "processed_at")]
 
