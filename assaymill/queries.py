@@ -180,38 +180,50 @@ VALIDATED_SQL = f"""
     valid AS (SELECT * FROM validated WHERE codes = '')
 """
 
-LATEST_SQL = f"""
-    {VALIDATED_SQL},
-    latest AS (
-        SELECT * FROM (
-            SELECT *, row_number() OVER (
-                PARTITION BY event_id
-                ORDER BY occurred_epoch DESC, material_id, lab_id, tensile_strength_mpa,
-                    density_g_per_cm3, temperature_c, pressure_mpa
-            ) AS copy
-            FROM valid
-        ) WHERE copy = 1
-    )
-"""
+# Which copy of an event comes first: by values, as ``derived_order`` says, or by when it was read.
+BY_VALUES = (
+    "occurred_epoch DESC, material_id, lab_id, tensile_strength_mpa, density_g_per_cm3,"
+    " temperature_c, pressure_mpa"
+)
+BY_READING = "occurred_epoch DESC, l_partkey DESC, l_suppkey DESC"
+
+
+def _latest_sql(order: str) -> str:
+    return f"""
+        {VALIDATED_SQL},
+        latest AS (
+            SELECT * FROM (
+                SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {order}) AS copy
+                FROM valid
+            ) WHERE copy = 1
+        )
+    """
+
+
+LATEST_SQL = _latest_sql(BY_VALUES)
 
 
 def _mean_sql(column: str) -> str:
     return f"CAST(sum(CAST({column} AS DECIMAL(18, 2))) AS DOUBLE) / count({column})"
 
 
-SUMMARY_SQL = f"""
-    {LATEST_SQL},
-    summary AS (
-        SELECT program_id, material_id, material_family,
-            CAST(count(DISTINCT experiment_id) AS BIGINT) AS experiment_count,
-            {_mean_sql("tensile_strength_mpa")} AS average_tensile_strength_mpa,
-            {_mean_sql("conductivity_s_per_m")} AS average_conductivity_s_per_m,
-            {_mean_sql("density_g_per_cm3")} AS average_density_g_per_cm3,
-            max(occurred_epoch) AS latest_epoch
-        FROM latest
-        GROUP BY program_id, material_id, material_family
-    )
-"""
+def _summary_sql(order: str) -> str:
+    return f"""
+        {_latest_sql(order)},
+        summary AS (
+            SELECT program_id, material_id, material_family,
+                CAST(count(DISTINCT experiment_id) AS BIGINT) AS experiment_count,
+                {_mean_sql("tensile_strength_mpa")} AS average_tensile_strength_mpa,
+                {_mean_sql("conductivity_s_per_m")} AS average_conductivity_s_per_m,
+                {_mean_sql("density_g_per_cm3")} AS average_density_g_per_cm3,
+                max(occurred_epoch) AS latest_epoch
+            FROM latest
+            GROUP BY program_id, material_id, material_family
+        )
+    """
+
+
+SUMMARY_SQL = _summary_sql(BY_VALUES)
 
 
 def _scaled_sql(column: str, higher: bool) -> str:
@@ -220,10 +232,10 @@ def _scaled_sql(column: str, higher: bool) -> str:
     return f"CASE WHEN {low} = {high} THEN 1.0::DOUBLE ELSE ({distance}) / ({high} - {low}) END"
 
 
-def _ranked_sql(weights: tuple[float, float, float]) -> str:
+def _ranked_sql(weights: tuple[float, float, float], order: str = BY_VALUES) -> str:
     strength, conductivity, density = (f"{w}::DOUBLE" for w in weights)
     return f"""
-        {SUMMARY_SQL},
+        {_summary_sql(order)},
         scaled AS (
             SELECT *,
                 {_scaled_sql("average_tensile_strength_mpa", True)} AS strength_score,
@@ -579,10 +591,17 @@ def ranked_candidates_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_epoch(rows.select(*CANDIDATE_COLUMNS))
 
 
-@query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
+@query(f"WITH {_ranked_sql(WEIGHTS, BY_READING)} SELECT {_RANKED_COLUMNS} FROM ranked")
 def ranked_candidates_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nothing chosen: the default event order and averages without a given scale."""
-    return with_epoch(gold.material_candidates(valid(spark, sf_dir)))
+    """Nothing chosen: the default event order and averages without a given scale.
+
+    Each copy of an event has a reading time of its own, in the order of its part and supplier: the
+    default order's next column, the hash of JSON text, is one that another engine cannot know.
+    """
+    raw = derived_raw(spark, sf_dir)
+    read_at = F.timestamp_micros(F.col("l_partkey") * 10_000_000 + F.col("l_suppkey"))
+    rows = validated_events(raw.withColumn("ingested_at", read_at))
+    return with_epoch(gold.material_candidates(valid_events(rows)))
 
 
 @query(f"WITH {_ranked_sql(OTHER_WEIGHTS)} SELECT {_RANKED_COLUMNS} FROM ranked")
