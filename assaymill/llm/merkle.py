@@ -3,8 +3,9 @@
 Rows are leaves. Per language, runs of eight consecutive nodes become their parent until one
 node is left, the subroot; subroots become the root in the same way. Each level is stored as
 rows that name their parent and hold their siblings' digests. A recursive query then climbs
-from every leaf at once: each step appends the siblings it meets and folds the leaf's digest with
-them, until it arrives at the root.
+from all leaves at once: each step appends the siblings it meets and folds every leaf's digest with
+them, until it arrives at the root. The leaves of a run meet the same siblings above it, so they climb
+in one row, which holds those siblings once.
 """
 
 from __future__ import annotations
@@ -73,41 +74,30 @@ def leaves(docs: DataFrame) -> DataFrame:
     )
 
 
-def parents(level: DataFrame) -> DataFrame:
-    """One row per run of nodes, at most ``ARITY`` of them: the parent's position and the nodes in order."""
-    run = F.array_sort(F.collect_list(F.struct("pos", "hash", "lo", "hi")))
-    return level.groupBy("tree", F.expr(f"pos div {ARITY}").alias("run"), "n").agg(
-        run.alias("nodes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
-
-
 def _joined(nodes: Column) -> Column:
     """The digests of some nodes as one binary."""
     return F.aggregate(nodes, F.lit(b""), lambda all_, node: F.concat(all_, node["hash"]))
 
 
-def linked(level: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
-    """A level's nodes as rows that name their parent and hold their siblings, and the level above.
+def _before(nodes: str, pos: Column) -> Column:
+    return _joined(F.filter(nodes, lambda x: x["pos"] < pos))
 
-    ``left`` and ``right`` are the run's digests before and after the node's own, ``last`` says that the
-    parent is all that is left of the tree. Trees of which one node is left take no part.
-    """
-    runs = stored(parents(level.where("n > 1")), "runs")
-    own = F.col("node.pos")
-    rows = runs.select("tree", "run", "n", F.explode("nodes").alias("node"), "nodes").select(
-        F.lit(number).alias("level"),
-        "tree",
-        own.alias("pos"),
-        F.lit(number + 1).alias("parent_level"),
-        F.col("tree").alias("parent_tree"),
-        F.col("run").alias("parent_pos"),
-        _joined(F.filter("nodes", lambda x: x["pos"] < own)).alias("left"),
-        _joined(F.filter("nodes", lambda x: x["pos"] > own)).alias("right"),
-        "node.lo",
-        "node.hi",
-        (F.col("n") <= ARITY).alias("last"),
+
+def _after(nodes: str, pos: Column) -> Column:
+    return _joined(F.filter(nodes, lambda x: x["pos"] > pos))
+
+
+def runs_of(level: DataFrame, *more: str) -> DataFrame:
+    """One row per run of nodes, at most ``ARITY`` of them in order; ``n`` are the nodes of the tree's level."""
+    run = F.array_sort(F.collect_list(F.struct("pos", "hash", *more)))
+    return level.groupBy("tree", F.expr(f"pos div {ARITY}").alias("run"), "n").agg(
+        run.alias("nodes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    above = runs.select(
+
+
+def above(runs: DataFrame) -> DataFrame:
+    """The parents of runs: the next level."""
+    return runs.select(
         "tree",
         F.col("run").alias("pos"),
         F.unhex(F.sha2(hex_text(_joined(F.col("nodes"))), 256)).alias("hash"),
@@ -115,73 +105,95 @@ def linked(level: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
         "lo",
         "hi",
     )
-    return rows, stored(above, "level")
 
 
-def levels(bottom: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Parent-linked rows of every level, and its nodes, from the bottom until one node a tree is left."""
-    rows, nodes = [], [bottom]
-    while nodes[-1].where("n > 1").limit(1).count():
-        linked_rows, above = linked(nodes[-1], len(rows))
-        rows.append(linked_rows)
-        nodes.append(above)
-    return rows, nodes
+def links(runs: DataFrame, level: int) -> DataFrame:
+    """The nodes of runs as rows that name their parent and hold the digests before and after their own.
 
+    One row for each block of leaves from ``lo`` to ``hi`` that the run covers.
+    """
+    blocks = F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"hi div {BLOCK}"))
+    each = runs.select("*", F.explode("nodes").alias("node")).select(
+        "tree", "run", "n", "nodes", "node.pos", "node.lo", "node.hi"
+    )
+    return each.select(
+        "tree",
+        F.lit(level).alias("level"),
+        "pos",
+        *parent(F.lit(level + 1)),
+        _before("nodes", F.col("pos")).alias("left"),
+        _after("nodes", F.col("pos")).alias("right"),
+        F.explode(blocks).alias("block"),
+    )
 
-def onto_subroots(rows: DataFrame) -> DataFrame:
-    """The parent of a language's last run is its subroot, which is a leaf of the tree above."""
-    top = lambda value, name: F.when(F.col("last"), value).otherwise(F.col(name)).alias(name)
-    return rows.select(
-        "level", "tree", "pos", top(F.lit(0), "parent_level"), top(F.lit(TOP).cast("long"), "parent_tree"),
-        top(F.col("tree"), "parent_pos"), "left", "right", "lo", "hi",
-    )
+
+def parent(level: Column) -> list[Column]:
+    """Where a run's nodes go on: to their parent, which for a language's last run is a leaf of the tree above."""
+    subroot = (F.col("n") <= ARITY) & (F.col("tree") != TOP)
+    return [
+        F.when(subroot, TOP).otherwise(F.col("tree")).cast("long").alias("parent_tree"),
+        F.when(subroot, 0).otherwise(level).alias("parent_level"),
+        F.when(subroot, F.col("tree")).otherwise(F.col("run")).alias("parent_pos"),
+    ]
+
+
+def built(level: DataFrame, number: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Link rows from a level upwards until one node a tree is left, and the levels."""
+    rows, levels = [], [level]
+    while levels[-1].where("n > 1").limit(1).count():
+        runs = stored(runs_of(levels[-1].where("n > 1"), "lo", "hi"), "runs")
+        rows.append(links(runs, number + len(rows)))
+        levels.append(stored(above(runs), "level"))
+    return rows, levels
 
 
 CLIMB = """
-    WITH RECURSIVE climb(row, block, tree, level, pos, proof, folded) AS (
-        SELECT row, block, tree, level, pos, proof, folded FROM {start}
+    WITH RECURSIVE climb(run, block, tree, level, pos, proof, folded) AS (
+        SELECT run, block, tree, level, pos, proof, folded FROM {start}
         UNION ALL
-        SELECT c.row, c.block, n.parent_tree, n.parent_level, n.parent_pos,
+        SELECT c.run, c.block, n.parent_tree, n.parent_level, n.parent_pos,
             concat(c.proof, n.left, n.right),
-            unhex(sha2(concat(lower(hex(n.left)), lower(hex(c.folded)), lower(hex(n.right))), 256))
+            transform(c.folded, x -> unhex(sha2(
+                concat(lower(hex(n.left)), lower(hex(x)), lower(hex(n.right))), 256)))
         FROM climb c JOIN {nodes} n
             ON c.block = n.block AND c.tree = n.tree AND c.level = n.level AND c.pos = n.pos
     )
-    SELECT row, proof, folded FROM climb WHERE tree = {top} AND level = {height}
+    SELECT run, proof, folded FROM climb WHERE tree = {top} AND level = {height}
 """
 
 
-LINK = "tree long, level int, pos long, parent_tree long, parent_level int, parent_pos long, left binary, right binary"
+def climb_start(runs: DataFrame) -> DataFrame:
+    """The leaves' runs at their parents, with the digests folded from tampered leaves.
 
-
-def climb_start(bottom: DataFrame, leaf_rows: DataFrame | None) -> DataFrame:
-    """Every leaf after its first step: at its parent, with its siblings and the digest folded with them.
-
-    The leaves' own rows, most of all, are thus read once and not at each step. A leaf that is its
-    language's only one already is a subroot.
+    A leaf that is its language's only one is a subroot as it is.
     """
-    leaf = ["tree", "pos", F.col("lo").alias("row"), F.expr(f"lo div {BLOCK}").alias("block"), "forged"]
-    if leaf_rows is None:
-        leaf_rows = bottom.sparkSession.createDataFrame([], LINK)
-    met = bottom.select(*leaf).join(leaf_rows.drop("level", "lo", "hi"), ["tree", "pos"], "left")
-    alone = F.col("parent_tree").isNull()
-    folded = F.sha2(F.concat(hex_text(F.col("left")), hex_text(F.col("forged")), hex_text(F.col("right"))), 256)
-    return met.select(
-        "row",
-        "block",
-        F.when(alone, TOP).otherwise(F.col("parent_tree")).cast("long").alias("tree"),
-        F.when(alone, 0).otherwise(F.col("parent_level")).cast("int").alias("level"),
-        F.when(alone, F.col("tree")).otherwise(F.col("parent_pos")).alias("pos"),
-        F.when(alone, F.lit(b"")).otherwise(F.concat("left", "right")).alias("proof"),
-        F.when(alone, F.col("forged")).otherwise(F.unhex(folded)).alias("folded"),
+    alone = F.col("n") == 1
+    folded = F.transform(
+        "nodes",
+        lambda x: F.unhex(
+            F.sha2(
+                F.concat(hex_text(_before("nodes", x["pos"])), hex_text(x["forged"]), hex_text(_after("nodes", x["pos"]))),
+                256,
+            )
+        ),
+    )
+    tree, level, pos = parent(F.lit(1))
+    return runs.select(
+        F.col("lo").alias("run"),
+        F.expr(f"lo div {BLOCK}").alias("block"),
+        tree.alias("tree"),
+        level.alias("level"),
+        pos.alias("pos"),
+        F.lit(b"").alias("proof"),
+        F.when(alone, F.transform("nodes", lambda x: x["forged"])).otherwise(folded).alias("folded"),
     )
 
 
-def climbed(start: DataFrame, links: DataFrame, height: int) -> DataFrame:
-    """All rows of ``start`` at the root, with their proofs and the roots folded on the way."""
+def climbed(start: DataFrame, nodes: DataFrame, height: int) -> DataFrame:
+    """All runs at the root, with the siblings above them and the roots folded on the way."""
     spark = start.sparkSession
     with setting(spark, ROW_LIMIT, "-1"):
-        return stored(spark.sql(CLIMB, start=start, nodes=links, top=TOP, height=height), "climbed")
+        return stored(spark.sql(CLIMB, start=start, nodes=nodes, top=TOP, height=height), "climbed")
 
 
 def merkle_manifest(docs: DataFrame) -> DataFrame:
@@ -194,53 +206,53 @@ def merkle_manifest(docs: DataFrame) -> DataFrame:
     An empty table gives no rows. Other columns are not looked at.
     """
     placed = stored(positions(leaves(docs), "row", "lang", "doc_id", "hash"), "placed-leaves")
-    langs = placed.groupBy("lang").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+    langs = placed.groupBy("lang").agg(F.min("row").alias("first"), F.max("row").alias("last"))
     trees = stored(positions(langs, "tree", "lang"), "trees")
-    bottom = stored(
-        placed.join(trees, placed["lang"].eqNullSafe(trees["lang"])).select(
-            "tree",
-            (F.col("row") - F.col("lo")).alias("pos"),
-            "hash",
-            (F.col("hi") - F.col("lo") + 1).alias("n"),
-            F.col("row").alias("lo"),
-            F.col("row").alias("hi"),
-            "forged",
-            "doc_id",
-        ),
-        "bottom",
+    bottom = placed.join(trees, placed["lang"].eqNullSafe(trees["lang"])).select(
+        "tree",
+        (F.col("row") - F.col("first")).alias("pos"),
+        "hash",
+        (F.col("last") - F.col("first") + 1).alias("n"),
+        F.col("row").alias("lo"),
+        F.col("row").alias("hi"),
+        "forged",
+        "doc_id",
     )
-    low, nodes = levels(bottom)
-    subroots = reduce(DataFrame.unionByName, (x.where("n = 1").select("tree", "hash") for x in nodes))
-    top_bottom = stored(
-        subroots.join(trees.drop("lang"), "tree").select(
-            F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), "hash",
-            F.lit(trees.count()).cast("long").alias("n"), "lo", "hi",
+    leaf_runs = stored(runs_of(bottom, "forged", "doc_id"), "leaf-runs")
+    low, levels = built(stored(above(leaf_runs.where("n > 1")), "level"), 1)
+    alone = leaf_runs.where("n = 1").select("tree", F.col("nodes")[0]["hash"].alias("hash"))
+    subroots = reduce(
+        DataFrame.unionByName, (x.where("n = 1").select("tree", "hash") for x in levels), alone
+    ).join(trees, "tree")
+    n_trees = F.lit(trees.count()).cast("long")
+    top = stored(
+        subroots.select(
+            F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), "hash", n_trees.alias("n"),
+            F.col("first").alias("lo"), F.col("last").alias("hi"),
         ),
         "subroots",
     )
-    high, top_nodes = levels(top_bottom)
+    high, top_levels = built(top, 0)
 
-    low, high = [onto_subroots(x) for x in low], [x.drop("last") for x in high]
-    start = stored(climb_start(bottom, low[0] if low else None), "climb-start")
-    blocks = F.explode(F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"hi div {BLOCK}"))).alias("block")
-    none = docs.sparkSession.createDataFrame([], f"{LINK}, block long")
-    links = (x.select("*", blocks).select(*none.columns) for x in low[1:] + high)
-    proofs = climbed(start, stored(reduce(DataFrame.unionByName, links, none), "links"), len(high))
+    names = "tree long, level int, pos long, parent_tree long, parent_level int, parent_pos long, left binary, right binary, block long"
+    none = docs.sparkSession.createDataFrame([], names)
+    nodes = stored(reduce(DataFrame.unionByName, low + high, none), "links")
+    proofs = climbed(stored(climb_start(leaf_runs), "climb-start"), nodes, len(high))
 
-    last = top_nodes[-1].select(hex_text(F.col("hash"))).first()
+    last = top_levels[-1].select(hex_text(F.col("hash"))).first()
     root = F.lit(last[0] if last else "")
-    subroot = top_bottom.select(F.col("pos").alias("tree"), hex_text(F.col("hash")).alias("subroot"))
-    folded = hex_text(F.col("folded"))
-    return (
-        bottom.join(proofs, bottom["lo"] == proofs["row"])
-        .join(subroot, "tree")
-        .select(
-            "doc_id",
-            hex_text(F.col("hash")).alias("leaf"),
-            "subroot",
-            root.alias("root"),
-            F.sha2(hex_text(F.col("proof")), 256).alias("proof_sha256"),
-            folded.alias("folded_root"),
-            (folded == root).alias("verified"),
-        )
+    subroot = top.select(F.col("pos").alias("of_tree"), hex_text(F.col("hash")).alias("subroot"))
+    siblings = F.concat(_before("nodes", F.col("node.pos")), _after("nodes", F.col("node.pos")))
+    folded = hex_text(F.element_at("folded", F.col("place") + 1))
+    each = leaf_runs.join(proofs.withColumnRenamed("run", "of_run"), F.col("lo") == F.col("of_run")).select(
+        "*", F.posexplode("nodes").alias("place", "node")
+    )
+    return each.join(subroot, F.col("tree") == F.col("of_tree")).select(
+        "node.doc_id",
+        hex_text(F.col("node.hash")).alias("leaf"),
+        "subroot",
+        root.alias("root"),
+        F.sha2(hex_text(F.concat(siblings, "proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == root).alias("verified"),
     )
