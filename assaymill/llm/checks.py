@@ -175,7 +175,39 @@ MANIFEST = f"""
     FROM bottom b JOIN longest ON own = b.tree AND place = b.pos JOIN subroots s ON s.tree = b.tree, root
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKING = f"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS doc, doc_id, {_words("text", _TERM)} AS w FROM documents
+    ),
+    totals AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM texts WHERE len(w) > 0),
+    tf AS (
+        SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM texts) GROUP BY doc, term
+    ),
+    items AS (SELECT DISTINCT item_id, unnest({_words("text", _TERM)}) AS term FROM benchmark),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM tf, totals GROUP BY term, docs
+    ),
+    lengths AS (
+        SELECT doc, doc_id, 100 - 50 + (50 * len(w) * docs) // words AS m FROM texts, totals WHERE len(w) > 0
+    ),
+    scores AS (
+        SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+        FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc)
+        GROUP BY item_id, doc, doc_id
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+        FROM scores WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 SQL = {
+    "op11_lexical": RANKING,
     "op4_minhash": NEAR_DUPLICATES,
     "op5_winnowing": DECONTAMINATION,
     "op6_lines": LINES,

@@ -10,6 +10,8 @@ from assaymill.llm import checks
 from assaymill.llm.common import table
 from assaymill.llm.decontaminate import decontaminate
 from assaymill.llm.extraction import extract
+from assaymill.llm.forest import near_vectors
+from assaymill.llm.lexical import rank_documents
 from assaymill.llm.merkle import merkle_manifest
 from assaymill.llm.near_duplicates import near_duplicates
 from assaymill.llm.packing import pack
@@ -82,6 +84,16 @@ def op7_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))

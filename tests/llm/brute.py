@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -233,3 +234,64 @@ def manifest(rows):
             root = top[-1][0]
             out.append((row[0], tree[0][place], tree[-1][0], root, _fold(*proof), folded, folded == root))
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranking(docs, items, k):
+    """Rows (item_id, rank, doc_id, score)."""
+    found = [(i, Counter(TERM.findall((t or "").translate(A_TO_Z)))) for i, t in docs]
+    found = [(i, c) for i, c in found if c]
+    every, length = len(found), sum(sum(c.values()) for _, c in found)
+    df = Counter(t for _, c in found for t in c)
+    wanted = defaultdict(set)
+    for item, text in items:
+        wanted[item] |= set(TERM.findall((text or "").translate(A_TO_Z)))
+    out = []
+    for item, terms in wanted.items():
+        scored = []
+        for doc_id, counts in found:
+            m = 100 - 50 + (50 * sum(counts.values()) * every) // length
+            score = 0
+            for t in terms & counts.keys():
+                w = math.floor(1000 * math.log((2 * every + 2) / (2 * df[t] + 1)))
+                score += w * ((1_000_000_000 * counts[t]) // (1000 * counts[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scored)[:k], 1):
+            out.append((item, rank, doc_id, -score))
+    return out
+
+
+def vector_links(rows, cosine=0.93):
+    """Rows (vec_id, embedding, label) as (vec_id, n_links, component_id, kept)."""
+    spaces = defaultdict(list)
+    for n, (_, vector, label) in enumerate(rows):
+        if vector and label is not None and all(x is not None and math.isfinite(x) for x in vector) and any(vector):
+            spaces[label, len(vector)].append(n)
+    linked, component = [0] * len(rows), [r[0] for r in rows]
+    for own in spaces.values():
+        v = np.array([rows[n][1] for n in own], dtype=np.float64)
+        v /= np.abs(v).max(axis=1)[:, None]
+        v /= np.linalg.norm(v, axis=1)[:, None]
+        links = v @ v.T >= cosine
+        np.fill_diagonal(links, False)
+        label = np.arange(len(own))
+        while True:
+            least = np.where(links, label[None, :], len(own)).min(axis=1, initial=len(own))
+            new = np.minimum(label, least)
+            if (new == label).all():
+                break
+            label = new
+        for i, n in enumerate(own):
+            linked[n] = int(links[i].sum())
+        for root in set(label):
+            ids = [rows[own[i]][0] for i in np.flatnonzero(label == root)]
+            least = min((x for x in ids if x is not None), default=None)
+            for i in np.flatnonzero(label == root):
+                component[own[i]] = least
+    return [
+        (r[0], linked[n], component[n], linked[n] == 0 if r[0] is None else r[0] == component[n])
+        for n, r in enumerate(rows)
+    ]
