@@ -69,35 +69,53 @@ DECONTAMINATION = f"""
     FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_SENTENCE = (
+    r"(?:[^\n.!?。！？]+|[.!?]+[^\n.!?。！？\x20\t])*(?:[。！？]+|[.!?]*[\x20\t]*)\n?"
+)
+
 LINES = f"""
-    WITH lines AS (
-        SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-            generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
-        FROM documents
+    WITH pieces AS (
+        SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS place
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SENTENCE}') AS p FROM documents)
     ),
     worded AS (
-        SELECT *, regexp_extract_all(lower(line), '{_WORD}') AS w,
-            coalesce(sum(length(line) + 1) OVER (
-                PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
-            ), 0)::BIGINT AS start
-        FROM lines
-    ),
-    ranked AS (
-        SELECT *, len(w) >= 5 AND row_number() OVER (
-            PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, place) > 1 AS gone
-        FROM worded
-    )
-    SELECT doc_id,
-        CASE WHEN coalesce(any_value(text), '') = '' THEN 0 ELSE count(*) END::BIGINT AS n_units,
-        count(*) FILTER (gone)::BIGINT AS n_removed,
-        coalesce(sum(length(line)) FILTER (gone), 0)::BIGINT AS n_removed_chars,
-        coalesce(string_agg(start || ':' || (start + length(line)), ',' ORDER BY place)
-            FILTER (gone), '') AS removed_spans,
-        CASE WHEN any_value(text) IS NOT NULL THEN
-            coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') END AS text
-    FROM ranked GROUP BY doc_id
+        SELECT *, array_to_string(regexp_extract_all(lower(piece), '{_WORD}'), ' ') AS key,
+            sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY place)::BIGINT AS ends
+        FROM pieces WHERE piece <> ''
+    ),
+    units AS (
+        SELECT *, greatest(len(string_split(key, ' ')), length(key) // 6) AS size,
+            row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1 AS gone,
+            row_number() OVER (PARTITION BY doc_id ORDER BY place) AS number
+        FROM worded WHERE key <> ''
+    ),
+    runs AS (
+        SELECT doc_id, min(place) AS first, max(place) AS last, count(*) AS units,
+            min(ends - length(piece)) AS starts, max(ends) AS ends
+        FROM (
+            SELECT *, number - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM units WHERE gone
+        )
+        GROUP BY doc_id, run HAVING sum(size) >= 25
+    ),
+    kept AS (
+        SELECT doc_id, string_agg(piece, '' ORDER BY place) AS text
+        FROM worded w ANTI JOIN runs r ON w.doc_id = r.doc_id AND w.place BETWEEN r.first AND r.last
+        GROUP BY doc_id
+    ),
+    removed AS (
+        SELECT doc_id, sum(units)::BIGINT AS n_removed, sum(ends - starts)::BIGINT AS n_removed_chars,
+            string_agg(starts || ':' || ends, ',' ORDER BY starts) AS removed_spans
+        FROM runs GROUP BY doc_id
+    ),
+    counted AS (SELECT doc_id, count(*)::BIGINT AS n_units FROM units GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+        coalesce(n_removed_chars, 0) AS n_removed_chars, coalesce(removed_spans, '') AS removed_spans,
+        CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+    FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN removed USING (doc_id)
+    LEFT JOIN kept k USING (doc_id)
 """
 
+
 def _framed(column: str) -> str:
     return (
         f"CASE WHEN {column} IS NULL THEN '-'"

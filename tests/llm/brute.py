@@ -155,19 +155,52 @@ def base_spans(text):
     return sorted(out)
 
 
-def unit_spans(docs, min_words):
-    """Removed spans by document, the earliest occurrence by id and place kept."""
+def sentences(text):
+    """Pieces of a text: up to a line break, wide marks, or marks before white space and that space."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text):
+            if text[end] == "\n":
+                end += 1
+                break
+            if text[end] in "。！？":
+                while end < len(text) and text[end] in "。！？":
+                    end += 1
+                end += text[end : end + 1] == "\n"
+                break
+            if text[end] in ".!?":
+                after = end
+                while after < len(text) and text[after] in ".!?":
+                    after += 1
+                if after == len(text) or text[after] in " \t\n。！？":
+                    while after < len(text) and text[after] in " \t":
+                        after += 1
+                    end = after + (text[after : after + 1] == "\n")
+                    break
+                end = after
+            else:
+                end += 1
+        out.append(text[at:end])
+        at = end
+    return out
+
+
+def unit_spans(docs, least):
+    """Removed spans by document: runs of repeated sentences, the earliest by id and place kept."""
     seen, out = set(), {}
     for doc_id, text in sorted(docs, key=lambda d: d[0]):
-        at, spans = 0, []
-        for unit in (text or "").split("\n"):
-            words = WORD.findall(unit.lower())
-            if len(words) >= min_words:
-                key = tuple(words)
-                if key in seen:
-                    spans.append(f"{at}:{at + len(unit)}")
-                seen.add(key)
-            at += len(unit) + 1
+        at, spans, run = 0, [], []
+        for unit in [*sentences(text or ""), None]:
+            key = tuple(WORD.findall(unit.lower())) if unit else None
+            if key and key in seen:
+                run.append((at, at + len(unit), max(len(key), len(" ".join(key)) // 6)))
+            elif unit is None or key:
+                if run and sum(r[2] for r in run) >= least:
+                    spans.append(f"{run[0][0]}:{run[-1][1]}")
+                run = []
+            seen.add(key)
+            at += len(unit or "")
         out[doc_id] = ",".join(spans)
     return out
 

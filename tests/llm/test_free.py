@@ -278,7 +278,7 @@ def test_segments_cover_every_window():
 
 def test_lines_query(spark, documents):
     found = {r["doc_id"]: r["removed_spans"] for r in QUERIES["op6_lines"](spark, SF).collect()}
-    assert found == brute.unit_spans(documents, 5)
+    assert found == brute.unit_spans(documents, 25)
 
 
 def test_lines_of_odd_rows(table, odd, nothing):
@@ -290,16 +290,47 @@ def test_lines_of_odd_rows(table, odd, nothing):
         (4, "twice in one text here\ntwice in one text here"),
     ]
     found = defaultdict(set)
-    for r in remove_repeated_units(table(*docs)).collect():
+    for r in remove_repeated_units(table(*docs), "line", least_run=0).collect():
         found[r["doc_id"]].add((r["removed_spans"], r["text"]))
     assert found[1] == {("", docs[1][1])}
-    assert found[2] == {("0:20", "short\nNext line of five words\nshort")}
+    assert found[2] == {("0:27,51:56", "Next line of five words\n")}
     assert found[3] == {("0:20", "")}
-    assert found[4] == {("23:45", "twice in one text here")}
+    assert found[4] == {("23:45", "twice in one text here\n")}
     out = remove_repeated_units(odd).collect()
     assert len(out) == len(ODD) and {r["text"] for r in out if r["doc_id"] == 1} == {None}
     assert remove_repeated_units(nothing).count() == 0
-    assert remove_repeated_units(table((1, "a b c d e\n\nf\ng\n\nA b c d e")), "paragraph").first()["n_removed"] == 1
+    paragraphs = remove_repeated_units(table((1, "a b c d e\n\nf\ng\n\nA b c d e")), "paragraph", 5).first()
+    assert (paragraphs["n_units"], paragraphs["n_removed"], paragraphs["text"]) == (3, 1, "a b c d e\n\nf\ng\n\n")
+
+
+def _removed(table, passage, unit="sentence"):
+    """Texts left of two documents that both hold a passage."""
+    docs = [(i, f"Own start of {i} here. {passage}Own end of {i} there.") for i in (1, 2)]
+    return {r["doc_id"]: r["text"] for r in remove_repeated_units(table(*docs), unit).collect()}
+
+
+def test_a_passage_in_short_lines_goes(table):
+    """60 words, four to a line."""
+    passage = "".join(f"\n{i} b{i} c{i} d{i}" for i in range(15)) + "\n"
+    for unit in ("line", "sentence"):
+        left = _removed(table, passage, unit)
+        assert passage in left[1]
+        assert left[2].split() == "Own start of 2 here. Own end of 2 there.".split()
+
+
+def test_a_passage_inside_a_line_goes(table):
+    passage = "".join(f"Words {i} of a sentence. " for i in range(12))
+    assert _removed(table, passage)[2] == "Own start of 2 here. Own end of 2 there."
+
+
+def test_a_passage_without_spaces_goes(table):
+    passage = "".join(chr(0x4E00 + i % 97) * 3 + chr(0x5000 + i) + ("。" if i % 9 == 8 else "") for i in range(90))
+    assert _removed(table, passage)[2] == "Own start of 2 here. Own end of 2 there."
+
+
+def test_short_repeats_stay(table):
+    passage = "Yes. All rights reserved.\nRead more. "
+    assert passage in _removed(table, passage)[2]
 
 
 def test_extraction_of_held_out_pages():
