@@ -40,7 +40,7 @@ NEAR_DUPLICATES = f"""
 
 DECONTAMINATION = f"""
     WITH items AS (
-        SELECT item_id, {_words("text", _ITEM_WORD)} AS w FROM benchmark WHERE item_id IS NOT NULL
+        SELECT item_id, {_words("text", _ITEM_WORD)} AS w FROM benchmark
     ),
     item_windows AS (
         SELECT DISTINCT item_id, span, array_to_string(w[i : i + span - 1], ' ') AS x
@@ -61,7 +61,8 @@ DECONTAMINATION = f"""
     ),
     found AS (
         SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS list
-        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL)
+        GROUP BY doc_id
     )
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
         sha256(coalesce(list, '')) AS items_sha256,

@@ -62,14 +62,12 @@ def windows(df: DataFrame, span: int, prints: DataFrame | None = None) -> DataFr
     return out.select(*others, "s", "fp", window.alias("window"))
 
 
-def benchmark_windows(benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """Distinct windows with their length, kept hash and the sorted items that have them.
 
-    With ``nameless``, rows without an id have windows too, and are in no list of items.
+    Rows without an id have windows too, and are in no list of items.
     """
     items = columns(benchmark, item="item_id", text="text")
-    if not nameless:
-        items = items.where("item IS NOT NULL")
     items = items.select(F.col("item").cast("string").alias("item"), item_words(F.col("text")).alias("words"))
     items = stored(items.where(F.size("words") > 0), "benchmark-words")
     short = F.size("words") < SPAN
@@ -129,12 +127,12 @@ def document_hits(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> DataFrame | None:
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     """Hit documents: ``hit_id``, ``hit_hash``, ``n_hit``, ``n_items``, ``items_sha256``.
 
     Documents with the same sets of items share one list of items. None if no item has words.
     """
-    found = benchmark_windows(benchmark, nameless)
+    found = benchmark_windows(benchmark)
     hits = document_hits(docs, found)
     if hits is None:
         return None
@@ -179,7 +177,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document is contaminated when at least one word in twenty is inside a benchmark window.
     Null and empty texts have no words. Rows without an id are answered too; repeated rows each;
-    benchmark rows without an id or words are left out, and rows that share an id are one item.
+    benchmark rows that share an id are one item. Passages of rows without an id make hit words like any
+    other, but are no item. Benchmark rows without words are left out.
     Empty tables give no rows or no hits. Other columns are not looked at.
     """
     hits = contamination(docs, benchmark)
@@ -205,9 +204,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns.
 
-    Passages of benchmark rows without an id count here, as a verdict needs no id.
+    Rows with a null or empty text or without an id, repeated rows and further columns stay as they
+    are; an empty benchmark keeps every row, and an empty table gives no rows.
     """
-    hits = contamination(docs, benchmark, nameless=True)
+    hits = contamination(docs, benchmark)
     if hits is None:
         return docs
     rows = _keyed(docs)

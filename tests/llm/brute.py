@@ -104,10 +104,10 @@ def contamination(docs, benchmark):
     windows = defaultdict(set)
     for item, text in benchmark:
         words = ITEM_WORD.findall((text or "").translate(A_TO_Z))
-        if words and item is not None:
+        if words:
             span = min(13, len(words))
             for i in range(len(words) - span + 1):
-                windows[tuple(words[i : i + span])].add(str(item))
+                windows[tuple(words[i : i + span])].add(item)
     spans = sorted({len(w) for w in windows})
     out = []
     for doc_id, text in docs:
@@ -118,7 +118,7 @@ def contamination(docs, benchmark):
                 found = windows.get(tuple(words[i : i + span]))
                 if found:
                     hit.update(range(i, i + span))
-                    items |= found
+                    items |= {str(x) for x in found if x is not None}
         digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
         out.append((doc_id, len(words), len(hit), len(items), digest, bool(hit) and 20 * len(hit) >= len(words)))
     return out
