@@ -70,6 +70,14 @@ def criteria(
     return chosen
 
 
+def measures(scale: int | None = None) -> list[Measure]:
+    return [
+        Measure("tensile_strength_mpa", STRENGTH, scale),
+        Measure("conductivity_s_per_m", CONDUCTIVITY, scale),
+        Measure("density_g_per_cm3", DENSITY, scale),
+    ]
+
+
 def material_summary(
     events: DataFrame, order: Sequence[Column] | None = None, scale: int | None = None
 ) -> DataFrame:
@@ -77,11 +85,7 @@ def material_summary(
     return summarise(
         latest_per_key(events, ["event_id"], order or event_order(events.columns)),
         GROUPS,
-        [
-            Measure("tensile_strength_mpa", STRENGTH, scale),
-            Measure("conductivity_s_per_m", CONDUCTIVITY, scale),
-            Measure("density_g_per_cm3", DENSITY, scale),
-        ],
+        measures(scale),
         distinct="experiment_id",
         count_name="experiment_count",
         latest="occurred_at",

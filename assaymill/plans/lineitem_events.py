@@ -441,14 +441,17 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Which copy of an event is kept, in columns both engines have; True where the larger value comes first.
+DERIVED_ORDER = (
+    ("occurred_at", True),
+    ("material_id", False),
+    ("lab_id", False),
+    ("tensile_strength_mpa", False),
+    ("density_g_per_cm3", False),
+    ("temperature_c", False),
+    ("pressure_mpa", False),
+)
+
+
 def derived_order():
-    """Which copy of an event is kept, in columns both engines have."""
-    return [
-        F.desc("occurred_at"),
-        F.asc("material_id"),
-        F.asc("lab_id"),
-        F.asc("tensile_strength_mpa"),
-        F.asc("density_g_per_cm3"),
-        F.asc("temperature_c"),
-        F.asc("pressure_mpa"),
-    ]
+    return [F.desc(c) if descending else F.asc(c) for c, descending in DERIVED_ORDER]

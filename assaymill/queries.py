@@ -24,6 +24,7 @@ from assaymill.plans.experiments import quarantined_events, valid_events, valida
 from assaymill.plans.lineitem_events import (
     BASE,
     BLANK,
+    DERIVED_ORDER,
     FAULT,
     FAULTS,
     SOURCE_KEYS,
@@ -36,7 +37,8 @@ from assaymill.schemas import CANDIDATE_COLUMNS
 from assaymill.session import materialise, setting, shared_folder
 from assaymill.sources.files import read_events, read_raw
 from assaymill.sources.tables import read_table, stream_table
-from assaymill.streaming import layers as stream
+from assaymill.streaming import incremental, layers as stream
+from assaymill.streaming.latest import standing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -665,6 +667,57 @@ def stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_epoch(read_table(spark, made.table(stream.CANDIDATES)))
 
 
+# Derived events lie up to some seven years apart and arrive in any order.
+_YEARS = 20
+# Files that arrive one after the other; the streams stop and take up again after each.
+ARRIVALS = 3
+
+_increments: dict[tuple[str, str], tuple[tuple, stream.Layers]] = {}
+
+
+def increments(spark: SparkSession, sf_dir: str) -> stream.Layers:
+    """The layers after several arrivals with the streams run after each, once per session and content."""
+    key, content = (spark.sparkContext.applicationId, sf_dir), _content(spark, sf_dir)
+    if key in _increments and _increments[key][0] != content:
+        spark.sql(f"DROP DATABASE {_increments.pop(key)[1].database} CASCADE")
+    if key not in _increments:
+        root = shared_folder(spark, "increments")
+        made = stream.Layers(f"increments_{root[-32:]}", root)
+        stream.create_database(spark, made)
+        lines = materialise(derived_payloads(spark, sf_dir).select("value"))
+        columns = dict.fromkeys(("event_id", *gold.SUMMARISED, *(c for c, _ in DERIVED_ORDER)))
+        for arrival in range(ARRIVALS):
+            part = lines.where(F.pmod(F.xxhash64("value"), F.lit(ARRIVALS)) == arrival)
+            part.write.mode("append").text(f"{root}/arrived")
+            stream.append(stream.stream_raw(spark, f"{root}/arrived"), made, stream.RAW)
+            stream.validate(spark, made)
+            stream.publish_tables(spark, made)
+            incremental.settle(
+                spark, made, list(columns), DERIVED_ORDER, f"{_YEARS * 366} days", _YEARS * 366 * 24
+            )
+            incremental.merge_changes(spark, made, scoring={"scale": 2})
+        _increments[key] = content, made
+    return _increments[key][1]
+
+
+@query(f"""
+    WITH {LATEST_SQL}
+    SELECT {", ".join(_EVENT_COLUMNS)}, occurred_epoch FROM latest
+""")
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest copy of every event as its stream of changes adds up, over several arrivals and restarts."""
+    made = increments(spark, sf_dir)
+    rows = standing(read_table(spark, made.table(incremental.CHANGES)))
+    return rows.select(*_EVENT_COLUMNS, epoch("occurred_at", "occurred_epoch"))
+
+
+@query(f"WITH {RANKED_SQL} SELECT {_RANKED_COLUMNS} FROM ranked")
+def incremental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates after several arrivals, each added to what was stored of the ones before."""
+    made = increments(spark, sf_dir)
+    return with_epoch(read_table(spark, made.table(incremental.LIVE)))
+
+
 @query(f"""
     WITH {VALIDATED_SQL}
     SELECT event_id, experiment_id, occurred_epoch, codes FROM validated

@@ -110,7 +110,11 @@ def create_database(spark: SparkSession, layers: Layers) -> None:
 
 
 def append(
-    rows: DataFrame, layers: Layers, name: str, partition_by: tuple[str, ...] = ()
+    rows: DataFrame,
+    layers: Layers,
+    name: str,
+    partition_by: tuple[str, ...] = (),
+    comment: str | None = None,
 ) -> StreamingQuery:
     """Append a stream's available rows to a table, exactly once."""
     spark = rows.sparkSession
@@ -118,7 +122,7 @@ def append(
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {layers.table(name)} ({rows.schema.toDDL()})"
         f" USING {layers.table_format} {partitioned}"
-        f" LOCATION {quoted(layers.location(name))} COMMENT '{COMMENTS[name]}'"
+        f" LOCATION {quoted(layers.location(name))} COMMENT {quoted(comment or COMMENTS[name])}"
     )
     with setting(spark, CONCURRENT_WRITERS, str(OPEN_WRITERS)):
         query = (
