@@ -7,6 +7,7 @@ them by name.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from assaymill.functions.columns import fingerprint, has_text
 from assaymill.operators import reconcile
-from assaymill.operators.contract import contract_violations, report
+from assaymill.operators.contract import EXPERIMENT_CONTRACT, contract_violations, report
 from assaymill.operators.dedup import latest_per_key
+from assaymill.operators.json_schema import as_schema, compiled, schema_violations, tree_violations
 from assaymill.operators.parse import flatten, parse_json, parse_succeeded
 from assaymill.operators.ranking import rank_within
 from assaymill.operators.scoring import bounds
@@ -526,6 +528,77 @@ def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy(unnamed).agg(F.sum("copies").alias("copies"))
 
 
+@query(f"WITH {_FOUND_SQL} SELECT * FROM found")
+def schema_contract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract as a JSON Schema document, by the tree of checks that takes any schema."""
+    schema = compiled(json.dumps(as_schema(EXPERIMENT_CONTRACT)))
+    return tree_violations(derived_raw(spark, sf_dir), schema, "raw_payload", KEYS)
+
+
+# A second contract, for documents made of the table ``events``: references, alternatives, constants,
+# a pattern and nested lists.
+ACTION_SCHEMA = """{
+    "$schema": "https://json-schema.org/draft/2020-12/schema",
+    "title": "What a user did",
+    "$defs": {
+        "step": {"type": "integer", "minimum": 0, "maximum": 8},
+        "steps": {"type": "array", "minItems": 2, "items": {"$ref": "#/$defs/step"}}
+    },
+    "type": "object",
+    "required": ["id", "kind"],
+    "additionalProperties": false,
+    "properties": {
+        "id": {"type": "integer", "multipleOf": 2},
+        "kind": {"enum": ["click", "view", "purchase", "signup"]},
+        "by": {"anyOf": [{"type": "null"}, {"type": "string", "pattern": "^u[1-9]"}]},
+        "paths": {"type": "array", "maxItems": 2, "items": {"$ref": "#/$defs/steps"}},
+        "props": {"properties": {"k": {"anyOf": [{"type": "integer", "maximum": 49}, {"const": 77}]}}}
+    }
+}"""
+
+# The same text in both engines. Every third event has no kind, one in seven no user.
+_ACTION = """concat(
+    '{"id":', event_id,
+    CASE WHEN event_id % 3 <> 0 THEN concat(',"kind":"', event_type, '"') ELSE '' END,
+    ',"by":', CASE WHEN user_id % 7 = 0 THEN 'null' ELSE concat('"u', user_id % 4, '"') END,
+    ',"paths":[[', user_id % 10, ',', event_id % 11, '],[', event_id % 5, ']],"props":', props, '}')"""
+
+
+@query("""
+    WITH checked AS (
+        SELECT event_id, event_type, user_id, user_id % 10 AS a, event_id % 11 AS b, event_id % 5 AS c,
+            CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+        FROM events
+    )
+    SELECT event_id, 'id' AS field_path, 'multipleOf' AS rule, concat(event_id, ' is not a multiple of 2') AS message
+    FROM checked WHERE event_id % 2 = 1
+    UNION ALL
+    SELECT event_id, '<root>', 'required', concat(chr(39), 'kind', chr(39), ' is a required property')
+    FROM checked WHERE event_id % 3 = 0
+    UNION ALL
+    SELECT event_id, 'kind', 'enum', concat('"', event_type,
+        replace('" is not one of [|click|, |view|, |purchase|, |signup|]', '|', chr(39)))
+    FROM checked WHERE event_id % 3 <> 0 AND event_type = 'error'
+    UNION ALL
+    SELECT event_id, 'by', 'anyOf', '"u0" is not valid under any of the given schemas'
+    FROM checked WHERE user_id % 7 <> 0 AND user_id % 4 = 0
+    UNION ALL
+    SELECT event_id, 'paths.0.0', 'maximum', concat(a, ' is greater than the maximum of 8') FROM checked WHERE a > 8
+    UNION ALL
+    SELECT event_id, 'paths.0.1', 'maximum', concat(b, ' is greater than the maximum of 8') FROM checked WHERE b > 8
+    UNION ALL
+    SELECT event_id, 'paths.1', 'minItems', concat('[', c, '] has too few items') FROM checked
+    UNION ALL
+    SELECT event_id, 'props.k', 'anyOf', concat(k, ' is not valid under any of the given schemas')
+    FROM checked WHERE k > 49 AND k <> 77
+""")
+def schema_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of another kind against their own schema."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    actions = events.select("event_id", F.expr(_ACTION).alias("action"))
+    return schema_violations(actions, ACTION_SCHEMA, payload="action", keep=("event_id",))
+
+
 # ------------------------------------------------------------------- candidates
 
 
