@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 
 from assaymill.functions.columns import fingerprint, has_text
 from assaymill.operators import reconcile
-from assaymill.operators.contract import EXPERIMENT_CONTRACT, contract_violations, report
+from assaymill.operators.contract import (
+    EXPERIMENT_CONTRACT,
+    contract_violations,
+    numbered_report,
+    report,
+)
 from assaymill.operators.dedup import latest_per_key
 from assaymill.operators.json_schema import as_schema, compiled, schema_violations, tree_violations
 from assaymill.operators.parse import flatten, parse_json, parse_succeeded
@@ -38,8 +43,10 @@ from assaymill.plans.lineitem_events import (
 from assaymill.schemas import CANDIDATE_COLUMNS
 from assaymill.session import materialise, setting, shared_folder
 from assaymill.sources.files import read_events, read_raw
+from assaymill.sources.ranges import read_raw_numbered
 from assaymill.sources.tables import read_table, stream_table
-from assaymill.streaming import incremental, layers as stream
+from assaymill.streaming import incremental, ledger
+from assaymill.streaming import layers as stream
 from assaymill.streaming.latest import standing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -488,15 +495,19 @@ _VIOLATIONS_SQL = f"""
 """
 
 
-_FOUND_SQL = f"""
-    {RAW_SQL}, {_VIOLATIONS_SQL},
-    found AS (
-        SELECT {", ".join(KEYS)}, field_path, rule,
-            replace(replace(template, '{{event_id}}', replace(coalesce(event_id, ''), chr(10), '\\n')),
-                '{{occurred_at}}', replace(coalesce(occurred_at, ''), chr(10), '\\n')) AS message
-        FROM raw JOIN violation USING (fault)
-    )
-"""
+def _found_sql(keys: tuple[str, ...]) -> str:
+    return f"""
+        {RAW_SQL}, {_VIOLATIONS_SQL},
+        found AS (
+            SELECT {", ".join(keys)}, field_path, rule,
+                replace(replace(template, '{{event_id}}', replace(coalesce(event_id, ''), chr(10), '\\n')),
+                    '{{occurred_at}}', replace(coalesce(occurred_at, ''), chr(10), '\\n')) AS message
+            FROM raw JOIN violation USING (fault)
+        )
+    """
+
+
+_FOUND_SQL = _found_sql(KEYS)
 
 
 @query(f"WITH {_FOUND_SQL} SELECT * FROM found")
@@ -806,6 +817,82 @@ def stream_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------- files that grow
+
+
+def append_lines(lines: DataFrame, folder: str) -> None:
+    """Append the ``value``s of each ``file`` below a folder, in the order of ``at``, by tasks."""
+    import pyarrow.fs as pafs
+
+    def write(rows):
+        system, path = pafs.LocalFileSystem(), folder.removeprefix("file:").replace("///", "/")
+        system.create_dir(path)
+        with system.open_append_stream(f"{path}/{rows['file'].iloc[0]}") as file:
+            file.write("".join(f"{value}\n" for value in rows.sort_values("at")["value"]).encode())
+        return rows[["file"]].head(1)
+
+    lines.groupBy("file").applyInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+
+
+def file_name(path: str):
+    return F.element_at(F.split(path, "/"), -1).alias("file")
+
+
+# Files of some 12,500 lines; the third that comes last is appended to what was read before.
+_EVENT_FILE = "concat('part-', CAST(floor(event_id / 50000) AS bigint), '-', event_id % 4)"
+_EVENT_LINE = "CASE WHEN event_id % 7 = 0 THEN '  ' ELSE concat(event_id, ' ', props) END"
+
+
+@query(f"""
+    WITH lines AS (
+        SELECT {_EVENT_FILE} AS file, {_EVENT_LINE} AS raw_payload,
+            row_number() OVER (PARTITION BY {_EVENT_FILE} ORDER BY event_id % 3, event_id) AS line_number
+        FROM events
+    )
+    SELECT file, line_number, raw_payload, sha256(raw_payload) AS payload_sha256
+    FROM lines WHERE length(trim(raw_payload)) > 0
+""")
+def ingested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of files that grow between three runs, each read once and with its number in the file."""
+    folder = shared_folder(spark, "growing")
+    book = ledger.Ledger(shared_folder(spark, "ledger"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    lines = events.selectExpr(
+        f"{_EVENT_FILE} AS file", f"{_EVENT_LINE} AS value", "event_id AS at", "event_id % 3 AS arrival"
+    )
+    for arrival in range(3):
+        append_lines(lines.where(F.col("arrival") == arrival), folder)
+        ledger.ingest(spark, book, folder, range_bytes=1 << 18)
+    rows = ledger.ingested(spark, book)
+    return rows.select(file_name("source_file"), "line_number", "raw_payload", "payload_sha256")
+
+
+_LINE_FILE = "concat('lines-', CAST(floor(l_orderkey / 10000) AS bigint), '-', l_orderkey % 2)"
+
+
+@query(f"""
+    WITH {_found_sql(SOURCE_KEYS)},
+    places AS (
+        SELECT {", ".join(SOURCE_KEYS)}, {_LINE_FILE} AS file,
+            row_number() OVER (PARTITION BY {_LINE_FILE} ORDER BY {", ".join(SOURCE_KEYS)}) AS line_number
+        FROM keyed
+    )
+    SELECT file, line_number, concat('Line ', line_number, ', field ', field_path, ': ', message) AS line
+    FROM found JOIN places USING ({", ".join(SOURCE_KEYS)})
+""")
+def contract_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract report with line numbers, for files cut into many ranges; blank lines count."""
+    folder = shared_folder(spark, "numbered")
+    lines = derived_payloads(spark, sf_dir).selectExpr(
+        f"{_LINE_FILE} AS file", "value",
+        f"concat_ws('/', {', '.join(f"lpad(CAST({k} AS string), 30, '0')" for k in SOURCE_KEYS)}) AS at",
+    )
+    append_lines(lines, folder)
+    raw = read_raw_numbered(spark, folder, 1 << 20)
+    found = contract_violations(raw, keep=("source_file", "line_number"))
+    return numbered_report(found).select(file_name("source_file"), "line_number", "line")
+
+
 # ---------------------------------------------------------------- reconciliation
 
 
