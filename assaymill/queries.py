@@ -23,9 +23,12 @@ from assaymill.operators.contract import (
 )
 from assaymill.operators.dedup import latest_per_key
 from assaymill.operators.json_schema import as_schema, compiled, schema_violations, tree_violations
+from assaymill.operators.exact_sum import exact_sums
+from assaymill.operators.intervals import overlapping
 from assaymill.operators.parse import flatten, parse_json, parse_succeeded
 from assaymill.operators.ranking import rank_within
 from assaymill.operators.scoring import bounds
+from assaymill.operators.timeline import asof_join, sessions, stream_sessions
 from assaymill.plans import candidates as gold
 from assaymill.plans.experiments import quarantined_events, valid_events, validated_events
 from assaymill.plans.lineitem_events import (
@@ -893,6 +896,126 @@ def contract_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered_report(found).select(file_name("source_file"), "line_number", "line")
 
 
+# ------------------------------------------------------------------ time lines
+
+# A user that a third of all events belong to, beside the others.
+_USER = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+_GAP_SECONDS = 1200
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.selectExpr("event_id", f"{_USER} AS user", "CAST(ts AS timestamp) AS ts", "event_type", "value")
+
+
+@query(f"""
+    WITH events_of AS (SELECT event_id, {_USER} AS user, ts, event_type, value FROM events)
+    SELECT p.event_id, p.user, c.event_id AS click_id, c.value AS click_value
+    FROM (SELECT * FROM events_of WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT * FROM events_of WHERE event_type = 'click') c ON p.user = c.user AND p.ts >= c.ts
+""")
+def asof_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase with its user's last click before it."""
+    events = user_events(spark, sf_dir)
+    clicks = events.where("event_type = 'click'").selectExpr(
+        "user", "ts AS clicked_at", "event_id AS click_id", "value AS click_value"
+    )
+    joined = asof_join(
+        events.where("event_type = 'purchase'"), clicks, ["user"], "ts", "clicked_at",
+        ["click_id", "click_value"], tie=["click_id"],
+    )
+    return joined.select("event_id", "user", "click_id", "click_value")
+
+
+_SESSIONS_SQL = f"""
+    WITH marked AS (
+        SELECT {_USER} AS user, ts,
+            CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY {_USER} ORDER BY ts)) <= {_GAP_SECONDS * 10**6}
+                THEN 0 ELSE 1 END AS new
+        FROM events
+    ),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY user ORDER BY ts) AS session FROM marked)
+    SELECT user, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, CAST(count(*) AS BIGINT) AS n_events
+    FROM numbered GROUP BY user, session
+"""
+
+
+def _session_rows(found: DataFrame) -> DataFrame:
+    return found.select(
+        "user", F.unix_micros("session_start").alias("started"), F.unix_micros("session_end").alias("ended"), "n_events"
+    )
+
+
+@query(_SESSIONS_SQL)
+def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of every user, whose events may lie in any number of slices."""
+    return _session_rows(sessions(user_events(spark, sf_dir), ["user"], "ts", _GAP_SECONDS))
+
+
+@query(_SESSIONS_SQL)
+def user_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stream over files of events, those still open at the end included."""
+    folder = shared_folder(spark, "sessions")
+    user_events(spark, sf_dir).repartition(4, "event_id").write.parquet(f"{folder}/in")
+    events = spark.readStream.schema("event_id long, user long, ts timestamp").option("maxFilesPerTrigger", 2)
+    made = stream_sessions(events.parquet(f"{folder}/in"), ["user"], "ts", _GAP_SECONDS, "3650 days")
+    # Complete mode gives all sessions after each batch; each takes the place of the one before.
+    out = made.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint")
+    out = out.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{folder}/out"))
+    out.trigger(availableNow=True).start().awaitTermination()
+    return _session_rows(spark.read.schema(made.schema).parquet(f"{folder}/out"))
+
+
+@query("""
+    WITH shipped AS (SELECT l_orderkey, max(l_shipdate) AS last FROM lineitem GROUP BY l_orderkey),
+    spans AS (
+        SELECT o_custkey, o_orderkey, o_totalprice,
+            least(CAST(o_orderdate AS DATE), CAST(last AS DATE)) AS a,
+            greatest(CAST(o_orderdate AS DATE), CAST(last AS DATE)) AS b
+        FROM orders JOIN shipped ON o_orderkey = l_orderkey
+    )
+    SELECT x.o_orderkey, CAST(count(*) AS BIGINT) AS overlapping_orders,
+        CAST(sum(CAST(y.o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS overlapping_price
+    FROM spans x JOIN spans y ON x.o_custkey = y.o_custkey AND x.a <= y.b AND y.a <= x.b AND x.o_orderkey <> y.o_orderkey
+    GROUP BY x.o_orderkey
+""")
+def overlapping_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every order, the customer's other orders that are open at the same time."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    shipped = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last"))
+    day = lambda c: F.unix_date(F.to_date(c))
+    spans = materialise(
+        orders.join(shipped, orders["o_orderkey"] == shipped["l_orderkey"]).select(
+            "o_custkey", "o_orderkey", "o_totalprice",
+            F.least(day("o_orderdate"), day("last")).alias("a"), F.greatest(day("o_orderdate"), day("last")).alias("b"),
+        )
+    )
+    others = spans.select("o_custkey", F.col("o_orderkey").alias("other"), F.col("o_totalprice").alias("price"),
+                          F.col("a").alias("c"), F.col("b").alias("d"))
+    pairs = overlapping(spans, others, ["o_custkey"], ("a", "b"), ("c", "d")).where("o_orderkey <> other")
+    price = F.sum(F.col("price").cast("decimal(18,2)")).cast("double")
+    return pairs.groupBy("o_orderkey").agg(F.count("*").alias("overlapping_orders"), price.alias("overlapping_price"))
+
+
+# ------------------------------------------------------------------ exact sums
+
+
+@query("""
+    SELECT l_suppkey, CAST(2 * count(*) + count(*) AS BIGINT) AS v_n,
+        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 1024 AS v_sum,
+        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 1024 / (3 * count(*)) AS v_mean
+    FROM lineitem GROUP BY l_suppkey
+""")
+def exact_sums_that_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums in which values of all sizes cancel but for small ones, which plain addition would lose."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    big = F.col("l_quantity") * F.pow(F.lit(2.0), 40 * (F.col("l_linenumber") % 20) + 30)
+    small = F.round(F.col("l_extendedprice") * 100) / 1024
+    rows = lines.select("l_suppkey", F.explode(F.array(big, -big, small)).alias("v"))
+    return exact_sums(rows, ["l_suppkey"], ["v"])
+
+
 # ---------------------------------------------------------------- reconciliation
 
 
@@ -1022,3 +1145,21 @@ def event_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def ranking_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.ranking_extract(ranked(spark, sf_dir))
+
+
+@query(f"""
+    WITH {VALIDATED_SQL},
+    expected AS (
+        SELECT program_id, material_id, lab_id FROM valid
+        UNION ALL SELECT program_id, material_id, lab_id FROM valid WHERE l_linenumber = 1
+    ),
+    actual AS (SELECT program_id, material_id, lab_id FROM valid)
+    SELECT *, 'missing' AS side, CAST(count(*) AS BIGINT) AS copies
+    FROM (SELECT * FROM expected EXCEPT ALL SELECT * FROM actual) GROUP BY ALL
+""")
+def event_diff_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two whole tables, of which only buckets that differ are compared row by row."""
+    rows = materialise(valid(spark, sf_dir).select("l_linenumber", "program_id", "material_id", "lab_id"))
+    actual = rows.drop("l_linenumber")
+    expected = actual.unionByName(rows.where("l_linenumber = 1").drop("l_linenumber"))
+    return reconcile.digest_diff(expected, actual)
