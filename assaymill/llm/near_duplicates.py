@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.llm.common import columns, stored
@@ -34,6 +34,8 @@ SKETCH = 512
 BAND_ROWS = {85: 8, 80: 6}
 #: Texts and shingles that one block holds, about.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
+#: Tasks that compare blocks at most; a task takes several groups beyond that, one after the other.
+TASKS = 20_000
 #: Bytes of text that are hashed at once.
 AT_ONCE = 1 << 21
 
@@ -56,11 +58,11 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def sketched(docs: DataFrame, k: int, band_rows: int) -> DataFrame:
-    """``doc_id``, ``set_key``, ``n_shingles`` and ``bands``; key and bands are null for empty sets."""
+    """``doc_id``, ``text_hash``, ``set_key``, ``n_shingles`` and ``bands``; key and bands are null for empty sets."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_chunks(batch.column(1)):
+            for low, high, data, offsets in text_chunks(batch.column("text")):
                 hashes, bounds = shingle_sets(data, offsets, k)
                 keys = band_keys(sketches(hashes, bounds, SKETCH), band_rows)
                 sizes = np.diff(bounds)
@@ -71,17 +73,23 @@ def sketched(docs: DataFrame, k: int, band_rows: int) -> DataFrame:
                 full = np.where(sizes > 0, keys.shape[1], 0)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[low:high],
+                        batch.column("doc_id")[low:high],
+                        batch.column("text_hash")[low:high],
                         pa.array(own, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         _lists(keys[sizes > 0].reshape(-1), np.concatenate(([0], np.cumsum(full)))),
                     ],
-                    names=["doc_id", "set_key", "n_shingles", "bands"],
+                    names=["doc_id", "text_hash", "set_key", "n_shingles", "bands"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, set_key binary, n_shingles bigint, bands array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(of, schema)
+    schema = f"doc_id {kind}, text_hash bigint, set_key binary, n_shingles bigint, bands array<bigint>"
+    return docs.select("doc_id", _text_hash(), "text").mapInArrow(of, schema)
+
+
+def _text_hash() -> Column:
+    """Tells the texts of rows apart that share an id."""
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -168,50 +176,58 @@ def _links(percent: int):
 def linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``sketched`` rows, and ``set_key`` with its ``component_id``."""
     rows = stored(sketched(docs, k, BAND_ROWS[percent]), "sketches")
+    # A class is a set of shingles, whatever ids its rows have; its first row stands for it.
     classes = stored(
         rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("class_id")),
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("head"), F.max("n_shingles").alias("size"))
+        .select(
+            F.monotonically_increasing_id().alias("node"), "set_key", "size",
+            F.col("head.doc_id").alias("class_id"), F.col("head.text_hash").alias("class_text"),
+        ),
         "classes",
+    )
+    head = (
+        (rows["set_key"] == classes["set_key"])
+        & (rows["doc_id"] == classes["class_id"])
+        & (rows["text_hash"] == classes["class_text"])
     )
-    # One row stands for a class; of rows that share an id, the one of the least set.
-    heads = classes.groupBy("class_id").agg(F.min("set_key").alias("head_key"))
-    members = (
-        rows.join(heads, (rows["doc_id"] == heads["class_id"]) & (rows["set_key"] == heads["head_key"]))
-        .select("class_id", "set_key", "n_shingles", "bands")
-        .dropDuplicates(["class_id"])
-    )
-    in_bands = stored(members.select("class_id", F.explode("bands").alias("band")), "bands")
+    members = rows.join(classes, head).select("node", "bands").dropDuplicates(["node"])
+    in_bands = stored(members.select("node", F.explode("bands").alias("band")), "bands")
     buckets = stored(
         in_bands.groupBy("band")
-        .agg(F.min("class_id").alias("least"), F.max("class_id").alias("last"))
+        .agg(F.min("node").alias("least"), F.max("node").alias("last"))
         .where("least < last")
         .select("band", "least"),
         "buckets",
     )
-    stars = in_bands.join(buckets, "band").where("class_id > least")
-    clusters = stored(components(stars.select(F.col("least").alias("a"), F.col("class_id").alias("b"))), "clusters")
-
-    heads = heads.join(clusters, heads["class_id"] == clusters["node"]).select("node", "head_key", "component")
-    shares = (
-        rows.join(heads, (rows["doc_id"] == heads["node"]) & (rows["set_key"] == heads["head_key"]))
-        .dropDuplicates(["node"])
-        .groupBy("component")
-        .agg(F.count("*").alias("texts"), F.sum("n_shingles").alias("shingles_of"))
-        .select(
-            F.col("component").alias("cluster"),
-            F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("shingles_of") / BLOCK_SHINGLES))
-            .cast("int")
-            .alias("blocks"),
-            "texts",
-        )
+    stars = in_bands.join(buckets, "band").where("node > least")
+    clusters = stored(components(stars.select(F.col("least").alias("a"), F.col("node").alias("b"))), "clusters")
+
+    heads = stored(
+        classes.join(clusters, "node").select("node", "class_id", "class_text", "size", F.col("component").alias("cluster")),
+        "clustered",
+    )
+    shares = stored(
+        heads.groupBy("cluster")
+        .agg(F.count("*").alias("texts"), F.sum("size").alias("shingles_of"))
+        .withColumn(
+            "blocks",
+            F.greatest(F.ceil(F.col("texts") / BLOCK_TEXTS), F.ceil(F.col("shingles_of") / BLOCK_SHINGLES)).cast("int"),
+        ),
+        "cluster-sizes",
     )
-    shares = stored(shares, "cluster-sizes")
-    members = clusters.join(shares, clusters["component"] == shares["cluster"]).select("node", "cluster", "blocks")
+    members = heads.join(shares.select("cluster", "blocks"), "cluster")
     # Text of the members; identical rows of one id count once.
-    texts = docs.join(members, docs["doc_id"] == members["node"]).select("node", "cluster", "blocks", "text")
-    sets = _sets(texts, k).dropDuplicates(["node"])
-    groups = int((shares.agg(F.sum("texts")).first()[0] or 0) // (2 * BLOCK_TEXTS)) + 1
+    texts = docs.select("doc_id", "text", _text_hash())
+    member = (texts["doc_id"] == members["class_id"]) & (texts["text_hash"] == members["class_text"])
+    sets = _sets(texts.join(members, member).select("node", "cluster", "blocks", "text"), k).dropDuplicates(["node"])
+    # Small clusters share groups of about two blocks; a pair of blocks of a large one is a group of its own.
+    small, pairs = F.col("blocks") == 1, F.col("blocks") * (F.col("blocks") + 1) / 2
+    load = F.greatest(F.col("texts") / (2 * BLOCK_TEXTS), F.col("shingles_of") / (2 * BLOCK_SHINGLES))
+    shared, own_groups = shares.agg(F.sum(F.when(small, load)), F.sum(F.when(~small, pairs))).first()
+    groups = int(shared or 0) + 1
+    tasks = min(TASKS, groups + int(own_groups or 0))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
@@ -230,11 +246,15 @@ def linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]
             .alias("group"),
         )
     )
-    edges = dealt.groupBy("group").applyInPandas(_links(percent), "a bigint, b bigint")
+    # By groups and not by bytes: what a group costs is its comparisons.
+    edges = dealt.repartition(tasks, "group").groupBy("group").applyInPandas(_links(percent), "a bigint, b bigint")
     found = stored(components(edges), "components")
-    keys = classes.join(found, classes["class_id"] == found["node"], "left").select(
-        F.col("set_key").alias("key"), F.coalesce("component", "class_id").alias("component_id")
+    own_classes = stored(
+        classes.join(found, "node", "left").select("set_key", "class_id", F.coalesce("component", "node").alias("of")),
+        "classes-components",
     )
+    least = stored(own_classes.groupBy("of").agg(F.min("class_id").alias("component_id")), "component-ids")
+    keys = own_classes.join(least, "of").select(F.col("set_key").alias("key"), "component_id")
     return rows, stored(keys, "class-components")
 
 
@@ -244,9 +264,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     Documents are linked when ``percent`` of the union of their sets is common; the component is
     the least id that links reach, and that document is kept. Texts without words (null, empty)
     are linked with nothing. Rows without an id have no component and are kept. Repeated
-    rows are answered each; if rows share an id and differ, the one of the least set stands
-    for the id in links, and copies of the others follow the id. An empty table gives no
-    rows. Other columns are not looked at. Ids are whole numbers.
+    rows are answered each; rows that share an id and differ are linked each by its own text, and
+    may be in different components. An empty table gives no rows. Other columns are not looked at. Ids
+    are whole numbers.
     """
     docs = columns(docs, doc_id="doc_id", text="text")
     rows, keys = linked(docs, k, percent)

@@ -128,6 +128,14 @@ def test_near_duplicates_in_blocks(table, monkeypatch):
     assert found == brute.near_components(docs, 3, 85)
 
 
+def test_near_duplicates_of_texts_that_share_an_id(table):
+    """Each text links by itself, whichever of them has the least set."""
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    docs = [(5, texts[0]), (5, texts[1]), (5, texts[2]), (2, texts[0] + " more"), (3, texts[1] + " more"), (4, texts[2] + " more")]
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(table(*docs)).collect())
+    assert found == [(2, 2, True), (3, 3, True), (4, 4, True), (5, 2, False), (5, 3, False), (5, 4, False)]
+
+
 def test_near_duplicates_of_odd_rows(odd, nothing):
     found = near_duplicates(odd).collect()
     by_id = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
