@@ -280,7 +280,11 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the one kept of its group, with all their columns."""
+    """The rows of ``docs`` whose document is the one kept of its group, with all their columns.
+
+    Rows without words or without an id stay, repeated rows of a kept id too. A row goes when any row of its id
+    does. An empty table gives no rows.
+    """
     gone = near_duplicates(docs, k, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 

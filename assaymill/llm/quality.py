@@ -250,7 +250,11 @@ def quality_rules(
 def keep_good(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS
 ) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Rows without text fail the base rules and go; rows without an id, repeated rows and further columns are
+    judged and kept like any other. An empty table gives no rows.
+    """
     judged = _judged(docs, labels, threshold, buckets).select("row", "kept")
     # A plain filter would be moved below the steps and repeat each in the next one's place.
     return compute_once(judged, "stays", F.col("kept")).where("stays").select("row.*")

@@ -300,7 +300,11 @@ def _apart(spans: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The rows of ``docs`` with every span of a secret replaced, overlapping ones by one mark."""
+    """The rows of ``docs`` with every span of a secret replaced, overlapping ones by one mark.
+
+    All rows stay, with all their columns: null and empty texts as they are, rows without an id and repeated
+    rows like any other. An empty table gives no rows.
+    """
     hits = _by_document(_apart(_all_spans(docs)))
     rows = _keyed(docs)
     same = rows["id"].eqNullSafe(hits["hit_id"]) & (rows["text_hash"] == hits["hit_hash"])
