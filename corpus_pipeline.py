@@ -18,27 +18,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; rows without text fail them."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: five words, a similarity of 0.8."""
+    """One row of each near-duplicate group: five words, a similarity of 0.8. Rows without words stay."""
     return keep_one_row(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark does not contaminate."""
+    """Documents that the benchmark does not contaminate; rows without text are not."""
     return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark."""
+    """All documents, with secrets replaced by a mark; null texts stay null."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences."""
+    """Pieces of the documents, packed into sequences; a null text counts as empty."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -55,7 +55,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each one's rows written to the shared folder and read again."""
+    """All stages in turn, each one's rows written to the shared folder and read again.
+
+    Null ids, repeated rows and further columns go through all stages but the last; an empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
