@@ -75,3 +75,18 @@ def test_packing(spark, stages):
     assert Counter(tuple(r) for r in whole.select(names).collect()) == Counter(
         tuple(r) for r in stages["packing"].select(names).collect()
     )
+
+
+@pytest.mark.parametrize("which", ["odd", "nothing"])
+def test_all_stages_on_odd_rows_and_on_none(spark, which, request, tmp_path):
+    """Null ids and texts, empty, long and repeated ones, and further columns of clashing names."""
+    docs = request.getfixturevalue(which)
+    given = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name != "packing":
+            assert docs.columns == given
+    assert {"doc_id", "piece", "sequence_id"} <= set(docs.columns)
+    if which == "nothing":
+        assert docs.count() == 0
