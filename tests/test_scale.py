@@ -2,12 +2,14 @@
 
 from pathlib import Path
 
+import pandas as pd
 import pyarrow.parquet as pq
 
 from assaymill import queries
 from assaymill.session import shared_folder
 from assaymill.sources.files import read_raw
 from assaymill.streaming import layers as stream
+from assaymill.streaming.latest import _settling
 
 
 def _files(folder, suffix):
@@ -36,3 +38,34 @@ def test_layers_are_stored_as_zstd(spark, tmp_path):
     codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
     assert codecs == {"ZSTD"}
     assert spark.read.table(made.table(stream.RAW)).count() == 2
+
+
+class _State:
+    """What the change stream asks of the state of a key."""
+
+    hasTimedOut = False
+
+    def __init__(self, kept=None):
+        self.get, self.exists = kept, kept is not None
+
+    def update(self, kept):
+        self.get, self.exists = kept, True
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+    def setTimeoutTimestamp(self, at):
+        self.until = at
+
+
+def test_a_key_is_settled_by_its_columns_without_a_frame_for_each_batch():
+    settle = _settling(["k", "t", "s"], [(1, True, True), (2, False, False)], 1, 1000)
+    # Columns by name only: a selection of columns, which makes a new frame, is not there.
+    batches = [{"k": pd.Series(["a", "a"]), "t": pd.Series(["5000", "7000"]), "s": pd.Series(["x", None], dtype=object)}]
+    state = _State()
+    (first,) = settle(("a",), iter(batches), state)
+    assert [tuple(r) for r in first.to_numpy()] == [("a", "7000", None, 1)]
+    assert state.get == ("a", "7000", None) and state.until == 1007
+    (second,) = settle(("a",), iter([{c: pd.Series([v]) for c, v in zip("kts", ("a", "8000", "y"))}]), state)
+    assert [tuple(r) for r in second.to_numpy()] == [("a", "7000", None, -1), ("a", "8000", "y", 1)]
+    assert list(settle(("a",), iter(batches), state)) == []
