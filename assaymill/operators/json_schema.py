@@ -24,13 +24,13 @@ from assaymill.operators.contract import (
     Number,
     Object,
     Text,
+    _keys,
     _said,
     _violation,
     _where,
     contract_violations,
     one_document,
 )
-from assaymill.operators.parse import compute_once
 
 # --- fixed values: keywords of the schema language ---
 NOTES = {"$schema", "$id", "$comment", "$defs", "definitions", "title", "description", "default", "examples", "deprecated"}
@@ -162,22 +162,27 @@ def tree_violations(raw: DataFrame, schema: dict | bool, payload: str, keep: Seq
     arrays = _checks(schema, places.root())
     unreadable = F.array(_violation(F.lit(ROOT), "json", F.lit("not exactly one JSON document")))
     every = F.concat(F.array().cast(f"array<{VIOLATION}>"), *arrays)
-    found = F.when(F.col("_single"), F.filter(every, lambda x: x.isNotNull())).otherwise(unreadable)
+    found = F.when(F.col("_single"), every).otherwise(unreadable)
     looked_up = parsed.select(*keep, "_single", *places.values)
-    looked_up = looked_up.select("*", *places.kinds)
-    # Computed once: exploding adds a filter on the size, which would repeat all checks.
+    looked_up = looked_up.select("*", *places.kinds, *places.keys)
+    # Checks that hold leave a NULL, dropped after the explode: a lambda that drops them would have all
+    # checks interpreted. The outer form adds no size filter, which would repeat all checks.
     return (
-        compute_once(looked_up.select(*keep, found.alias("_checked")), "_found", F.col("_checked"))
-        .select(*keep, F.explode("_found").alias("_violation"))
+        looked_up.select(*keep, found.alias("_found"))
+        .select(*keep, F.explode_outer("_found").alias("_violation"))
+        .filter("_violation IS NOT NULL")
         .select(*keep, "_violation.*")
     )
 
 
 class _Place:
-    """A value in the document: its variant, the kind of it (NULL if absent), and its path as text."""
+    """A value in the document: its variant, the kind of it (NULL if absent), an object's keys, and its path as text."""
 
-    def __init__(self, value: Column, kind: Column, path: Column, top: bool, below: Callable[[str], _Place] | None):
-        self.value, self.kind, self.path, self.top, self._below = value, kind, path, top, below
+    def __init__(
+        self, value: Column, kind: Column, keys: Callable[[], Column], path: Column, top: bool,
+        below: Callable[[str], _Place] | None,
+    ):
+        self.value, self.kind, self.keys, self.path, self.top, self._below = value, kind, keys, path, top, below
 
     def typed(self, name: str) -> Column:
         return F.try_variant_get(self.value, "$", name)
@@ -211,7 +216,7 @@ def _quoted(key: str) -> str:
 
 
 def _inner(value: Column, path: Column) -> _Place:
-    return _Place(value, F.schema_of_variant(value), path, False, None)
+    return _Place(value, F.schema_of_variant(value), lambda: _keys(value), path, False, None)
 
 
 class _Places:
@@ -220,6 +225,7 @@ class _Places:
     def __init__(self) -> None:
         self.values: list[Column] = []
         self.kinds: list[Column] = []
+        self.keys: list[Column] = []
         self._known: dict[tuple[str, ...], _Place] = {}
 
     def root(self) -> _Place:
@@ -232,11 +238,16 @@ class _Places:
             self.values.append(F.try_variant_get(WRAPPED, f"$[0]{steps}", "variant").alias(f"_value_{n}"))
             self.kinds.append(F.schema_of_variant(f"_value_{n}").alias(f"_kind_{n}"))
             self._known[keys] = _Place(
-                F.col(f"_value_{n}"), F.col(f"_kind_{n}"), F.lit(".".join(keys)), not keys,
+                F.col(f"_value_{n}"), F.col(f"_kind_{n}"), lambda: self._keys_of(n), F.lit(".".join(keys)), not keys,
                 lambda key: self._at((*keys, key)),
             )
         return self._known[keys]
 
+    def _keys_of(self, n: int) -> Column:
+        name = f"_keys_{n}_{len(self.keys)}"
+        self.keys.append(_keys(F.col(f"_value_{n}")).alias(name))
+        return F.col(name)
+
 
 def _checks(schema: dict | bool, place: _Place) -> list[Column]:
     """Arrays of violations in path order, with a NULL for every check that holds."""
@@ -353,7 +364,7 @@ def _entries(place: _Place) -> Column:
 
 
 def _object_checks(schema: dict, place: _Place) -> list[Column]:
-    path, keys = place.shown_path(), F.map_keys(_entries(place))
+    path, keys = place.shown_path(), place.keys()
     found = []
     if schema.get("additionalProperties") is False:
         allowed = F.array(*(F.lit(k) for k in schema.get("properties", {}))).cast("array<string>")

@@ -6,6 +6,8 @@ import pandas as pd
 import pyarrow.parquet as pq
 
 from assaymill import queries
+from assaymill.operators.contract import Items, Number, Object, Text, contract_violations
+from assaymill.operators.json_schema import tree_violations
 from assaymill.session import shared_folder
 from assaymill.sources.files import read_raw
 from assaymill.streaming import layers as stream
@@ -69,3 +71,39 @@ def test_a_key_is_settled_by_its_columns_without_a_frame_for_each_batch():
     (second,) = settle(("a",), iter([{c: pd.Series([v]) for c, v in zip("kts", ("a", "8000", "y"))}]), state)
     assert [tuple(r) for r in second.to_numpy()] == [("a", "7000", None, -1), ("a", "8000", "y", 1)]
     assert list(settle(("a",), iter(batches), state)) == []
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_contract_checks_neither_copy_objects_for_their_keys_nor_run_inside_a_lambda(raw):
+    tree = {"type": "object", "required": ["a"], "properties": {"a": {"type": "string", "minLength": 1}}}
+    checked = tree_violations(raw('{"a":""}', "{}", "1"), tree, "raw_payload", ("source_file",))
+    assert "lambdafunction" not in _plan(checked)
+    assert sorted((r["source_file"], r["rule"]) for r in checked.collect()) == [
+        ("memory://0", "minLength"), ("memory://1", "required"), ("memory://2", "type")
+    ]
+    closed = Object({"a": Text(min_length=1), "b": Object({"n": Number(minimum=0)})})
+    found = contract_violations(raw('{"a":"","b":{"n":-1}}', '{"a":"x","b":{"n":-1,"m":{}}}'), closed)
+    assert "Map(StringType,VariantType" not in _plan(found) and "map<string,variant>" not in _plan(found)
+    assert sorted(tuple(r) for r in found.select("field_path", "rule", "message").collect()) == [
+        ("a", "minLength", '"" is too short'),
+        ("b", "additionalProperties", "Additional properties are not allowed: 'm'"),
+        ("b.n", "minimum", "-1 is less than the minimum of 0"),
+        ("b.n", "minimum", "-1 is less than the minimum of 0"),
+    ]
+
+
+def test_a_document_of_the_right_shape_is_told_by_its_typed_parse_with_the_value_as_written(raw):
+    closed = Object({"l": Items(Object({"n": Number(0, 9)}), min_items=1), "t": Text(form="uuid")})
+    payloads = ['{"l":[{"n":1},{"n":10}],"t":"u"}', '{"l":[],"t":"u"}', '{"l":[{"n":1.50},{"n":"2"}],"t":null}']
+    found = contract_violations(raw(*payloads), closed, keep=("source_file",))
+    assert sorted(tuple(r)[:3] + (r["message"],) for r in found.collect()) == [
+        ("memory://0", "l.1.n", "maximum", "10 is greater than the maximum of 9"),
+        ("memory://0", "t", "format", "\"u\" is not a 'uuid'"),
+        ("memory://1", "l", "minItems", "[] has too few items"),
+        ("memory://1", "t", "format", "\"u\" is not a 'uuid'"),
+        ("memory://2", "l.1.n", "type", "\"2\" is not of type 'number'"),
+        ("memory://2", "t", "type", "null is not of type 'string'"),
+    ]
