@@ -6,8 +6,9 @@ import pandas as pd
 import pyarrow.parquet as pq
 
 from assaymill import queries
-from assaymill.operators.contract import Items, Number, Object, Text, contract_violations
+from assaymill.operators.contract import Items, Number, Object, Text, contract_violations, numbered_report
 from assaymill.operators.json_schema import tree_violations
+from assaymill.plans.lineitem_events import derived_payloads
 from assaymill.session import shared_folder
 from assaymill.sources.files import read_raw
 from assaymill.streaming import layers as stream
@@ -107,3 +108,35 @@ def test_a_document_of_the_right_shape_is_told_by_its_typed_parse_with_the_value
         ("memory://2", "l.1.n", "type", "\"2\" is not of type 'number'"),
         ("memory://2", "t", "type", "null is not of type 'string'"),
     ]
+
+
+def test_lines_of_a_file_are_dealt_out_before_they_are_written_as_json(spark, tmp_path):
+    line = "1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 1D l_quantity, 1D l_extendedprice, 0D l_discount"
+    line = f"{line}, 0D l_tax, 'N' l_returnflag, 'O' l_linestatus, timestamp'2026-01-01' l_shipdate"
+    part = "1L p_partkey, 'n' p_name, 'b' p_brand, 't' p_type, 1 p_size, 1D p_retailprice"
+    for name, row in (("lineitem", line), ("part", part)):
+        spark.sql(f"SELECT {row}").write.parquet(f"{tmp_path}/{name}.parquet")
+    placed = derived_payloads(spark, str(tmp_path), "concat('f', l_orderkey % 2)")
+    # Plans are printed from the last step to the first.
+    before, after = _plan(placed).split("RepartitionByExpression [file")
+    assert "AS json#" in before and "AS json#" not in after
+    plain = derived_payloads(spark, str(tmp_path))
+    assert [(*r[:-2], r["value"]) for r in placed.select(*plain.columns[:-1], "file", "value").collect()] == [
+        tuple(r) for r in plain.collect()
+    ]
+    assert placed.first()["file"] == "f1"
+
+
+def test_a_numbered_report_checks_its_files_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def check(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.assign(field_path="a.b", rule="r", message="m")
+
+    schema = "source_file string, line_number bigint, field_path string, rule string, message string"
+    places = spark.range(200, numPartitions=4).selectExpr("concat('f', id % 2) AS source_file", "id AS line_number")
+    rows = numbered_report(places.mapInPandas(check, schema)).collect()
+    assert seen.value == 200
+    assert [(r["source_file"], r["line_number"]) for r in rows] == sorted((f"f{n % 2}", n) for n in range(200))
