@@ -4,8 +4,10 @@ from pathlib import Path
 
 import pandas as pd
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from assaymill import queries
+from assaymill.functions.columns import has_text
 from assaymill.operators.contract import Items, Number, Object, Text, contract_violations, numbered_report
 from assaymill.operators.json_schema import tree_violations
 from assaymill.plans.lineitem_events import derived_payloads
@@ -140,3 +142,9 @@ def test_a_numbered_report_checks_its_files_once(spark):
     rows = numbered_report(places.mapInPandas(check, schema)).collect()
     assert seen.value == 200
     assert [(r["source_file"], r["line_number"]) for r in rows] == sorted((f"f{n % 2}", n) for n in range(200))
+
+
+def test_the_blank_test_does_not_count_the_characters_of_a_line(spark):
+    lines = spark.createDataFrame([("",), ("  ",), ("\t",), (" a ",), ("ä",), (None,)], "value string")
+    assert "length" not in _plan(lines.where(has_text(F.col("value"))))
+    assert [r[0] for r in lines.select(has_text(F.col("value"))).collect()] == [False, False, True, True, True, None]
