@@ -112,6 +112,14 @@ def test_a_document_of_the_right_shape_is_told_by_its_typed_parse_with_the_value
     ]
 
 
+def _tables(spark, tmp_path):
+    line = "id l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 1D l_quantity, 1D l_extendedprice, 0D l_discount"
+    line = f"{line}, 0D l_tax, 'N' l_returnflag, 'O' l_linestatus, timestamp'2026-01-01' l_shipdate"
+    part = "SELECT 1L p_partkey, 'n' p_name, 'b' p_brand, 't' p_type, 1 p_size, 1D p_retailprice"
+    spark.sql(f"SELECT {line} FROM VALUES (1L), (50L) AS t(id)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql(part).write.parquet(f"{tmp_path}/part.parquet")
+
+
 def test_lines_of_a_file_are_dealt_out_before_they_are_written_as_json(spark, tmp_path):
     line = "1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 1D l_quantity, 1D l_extendedprice, 0D l_discount"
     line = f"{line}, 0D l_tax, 'N' l_returnflag, 'O' l_linestatus, timestamp'2026-01-01' l_shipdate"
@@ -144,6 +152,19 @@ def test_a_numbered_report_checks_its_files_once(spark):
     assert [(r["source_file"], r["line_number"]) for r in rows] == sorted((f"f{n % 2}", n) for n in range(200))
 
 
+def test_the_streamed_layers_keep_no_files_of_lines_beside_them(spark, tmp_path, monkeypatch):
+    _tables(spark, tmp_path)
+    folders = []
+    write = queries.written_lines
+    monkeypatch.setattr(queries, "written_lines", lambda lines: folders.append(write(lines)) or folders[-1])
+    layers = queries.layer_tables(spark, str(tmp_path))
+    # Faults 1 and 50: one is quarantined, one valid.
+    assert {name: rows.count() for name, rows in layers.items()} == {
+        "bronze": 2, "silver": 1, "quarantine": 1, "gold": 1
+    }
+    assert len(folders) == 1 and Path(folders[0]).is_dir() and not list(Path(folders[0]).iterdir())
+
+
 def test_the_blank_test_does_not_count_the_characters_of_a_line(spark):
     lines = spark.createDataFrame([("",), ("  ",), ("\t",), (" a ",), ("ä",), (None,)], "value string")
     assert "length" not in _plan(lines.where(has_text(F.col("value"))))
