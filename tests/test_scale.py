@@ -98,6 +98,16 @@ def test_contract_checks_neither_copy_objects_for_their_keys_nor_run_inside_a_la
     ]
 
 
+def test_contract_checks_copy_no_rows_for_their_parses(raw):
+    found = contract_violations(raw('{"n":-1}', '{"n":1}', '{"n":1} x', "[", "null"), Object({"n": Number(minimum=0)}))
+    plan = _plan(found)
+    # The violations are the only generator; each parse is there once, below the filter.
+    assert plan.count("Generate ") == 1 and plan.count("parseJson(") == 1 and plan.count("from_json(") == 1
+    assert sorted((r["source_file"], r["rule"]) for r in found.collect()) == [
+        ("memory://0", "minimum"), ("memory://2", "json"), ("memory://3", "json"), ("memory://4", "type")
+    ]
+
+
 def test_a_document_of_the_right_shape_is_told_by_its_typed_parse_with_the_value_as_written(raw):
     closed = Object({"l": Items(Object({"n": Number(0, 9)}), min_items=1), "t": Text(form="uuid")})
     payloads = ['{"l":[{"n":1},{"n":10}],"t":"u"}', '{"l":[],"t":"u"}', '{"l":[{"n":1.50},{"n":"2"}],"t":null}']
