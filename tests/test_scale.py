@@ -1,5 +1,6 @@
 """What the queries write and how their steps are planned, as far as it decides how large tables may be."""
 
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -11,7 +12,7 @@ from assaymill.functions.columns import has_text
 from assaymill.operators.contract import Items, Number, Object, Text, contract_violations, numbered_report
 from assaymill.operators.json_schema import tree_violations
 from assaymill.plans.lineitem_events import derived_payloads
-from assaymill.session import shared_folder
+from assaymill.session import SHUFFLE_CLEANUP, shared_folder
 from assaymill.sources.files import read_raw
 from assaymill.streaming import layers as stream
 from assaymill.streaming.latest import _settling
@@ -179,3 +180,37 @@ def test_the_blank_test_does_not_count_the_characters_of_a_line(spark):
     lines = spark.createDataFrame([("",), ("  ",), ("\t",), (" a ",), ("ä",), (None,)], "value string")
     assert "length" not in _plan(lines.where(has_text(F.col("value"))))
     assert [r[0] for r in lines.select(has_text(F.col("value"))).collect()] == [False, False, True, True, True, None]
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p for folder in folders for p in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def test_the_fill_of_the_layers_keeps_no_shuffles_and_stores_the_quarantine_after_the_candidates(
+    spark, tmp_path, monkeypatch
+):
+    _tables(spark, tmp_path)
+    steps = []
+    for step in ("append", "refresh_candidates"):
+        run = getattr(stream, step)
+        monkeypatch.setattr(stream, step, lambda *a, run=run, step=step, **k: steps.append((step, *a[2:3])) or run(*a, **k))
+    monkeypatch.setattr(queries, "_content", lambda *_: ())
+    before = _shuffle_files(spark)
+    layers = queries.layer_tables(spark, str(tmp_path))
+    until = time.monotonic() + 10
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert steps[-2:] == [("refresh_candidates",), ("append", stream.QUARANTINED)]
+    assert {name: rows.count() for name, rows in layers.items()} == {
+        "bronze": 2, "silver": 1, "quarantine": 1, "gold": 1
+    }
+
+
+def test_payloads_of_the_layers_are_compared_by_the_bytes_of_their_fingerprints(spark, tmp_path):
+    _tables(spark, tmp_path)
+    found = queries.layers_same_payloads(spark, str(tmp_path))
+    plan = _plan(found)
+    assert "unhex(payload_sha256" in plan and "Aggregate [payload_sha256" not in plan
+    assert tuple(found.first()) == (2, 0, 0)
