@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from assaymill.operators.contract import (
     FORMS,
+    KEYS_ONLY,
     ROOT,
     VIOLATION,
     WRAPPED,
@@ -24,6 +25,7 @@ from assaymill.operators.contract import (
     Number,
     Object,
     Text,
+    _item_holds,
     _keys,
     _said,
     _violation,
@@ -159,11 +161,11 @@ def tree_violations(raw: DataFrame, schema: dict | bool, payload: str, keep: Seq
     """The same for any compiled schema."""
     parsed = one_document(raw, payload, keep)
     places = _Places()
-    arrays = _checks(schema, places.root())
+    arrays = _checks(schema, places.root(schema))
     unreadable = F.array(_violation(F.lit(ROOT), "json", F.lit("not exactly one JSON document")))
     every = F.concat(F.array().cast(f"array<{VIOLATION}>"), *arrays)
     found = F.when(F.col("_single"), every).otherwise(unreadable)
-    looked_up = parsed.select(*keep, "_single", *places.values)
+    looked_up = parsed.select(*keep, "_single", WRAPPED, *places.values)
     looked_up = looked_up.select("*", *places.kinds, *places.keys)
     # Checks that hold leave a NULL, dropped after the explode: a lambda that drops them would have all
     # checks interpreted. The outer form adds no size filter, which would repeat all checks.
@@ -180,26 +182,30 @@ class _Place:
 
     def __init__(
         self, value: Column, kind: Column, keys: Callable[[], Column], path: Column, top: bool,
-        below: Callable[[str], _Place] | None,
+        below: Callable[[str, dict | bool], _Place] | None,
     ):
         self.value, self.kind, self.keys, self.path, self.top, self._below = value, kind, keys, path, top, below
 
     def typed(self, name: str) -> Column:
         return F.try_variant_get(self.value, "$", name)
 
+    def number(self) -> Column:
+        """A number as a double, by way of its text: a variant's decimal is cast by an expression made for each value."""
+        return F.to_json(self.value).try_cast("double")
+
     def is_kind(self, name: str) -> Column:
         if name in ("object", "array"):
             return self.kind.startswith(f"{name.upper()}<")
         if name == "integer":  # 2.0 is one
-            whole = self.typed("double")
+            whole = self.number()
             return self.is_kind("number") & (whole == F.floor(whole))
         if name == "number":
             return self.kind.isin("BIGINT", "DOUBLE", "FLOAT") | self.kind.startswith("DECIMAL")
         return self.kind == {"null": "VOID", "boolean": "BOOLEAN", "string": "STRING"}[name]
 
-    def below(self, key: str) -> _Place:
+    def below(self, key: str, schema: dict | bool) -> _Place:
         if self._below is not None:
-            return self._below(key)
+            return self._below(key, schema)
         return _inner(F.try_variant_get(self.value, f"$['{_quoted(key)}']", "variant"), self.path_of(F.lit(key)))
 
     def path_of(self, key: Column) -> Column:
@@ -220,7 +226,11 @@ def _inner(value: Column, path: Column) -> _Place:
 
 
 class _Places:
-    """Places that do not depend on list items: each is looked up once, as a column."""
+    """Places that do not depend on list items: each is looked up once, as a column.
+
+    Where an object is expected, that column has its keys. A copy of the object itself, with all below it, is
+    only made to say what else stands there.
+    """
 
     def __init__(self) -> None:
         self.values: list[Column] = []
@@ -228,18 +238,28 @@ class _Places:
         self.keys: list[Column] = []
         self._known: dict[tuple[str, ...], _Place] = {}
 
-    def root(self) -> _Place:
-        return self._at(())
+    def root(self, schema: dict | bool) -> _Place:
+        return self._at((), schema)
 
-    def _at(self, keys: tuple[str, ...]) -> _Place:
+    def _at(self, keys: tuple[str, ...], schema: dict | bool) -> _Place:
         if keys not in self._known:
             n = len(self.values)
-            steps = "".join(f"['{_quoted(key)}']" for key in keys)
-            self.values.append(F.try_variant_get(WRAPPED, f"$[0]{steps}", "variant").alias(f"_value_{n}"))
-            self.kinds.append(F.schema_of_variant(f"_value_{n}").alias(f"_kind_{n}"))
+            steps = "$[0]" + "".join(f"['{_quoted(key)}']" for key in keys)
+            value = F.try_variant_get(WRAPPED, steps, "variant")
+            if isinstance(schema, dict) and (schema.get("type") == "object" or OBJECT_LIMITS & set(schema)):
+                known = F.col(f"_keys_{n}")
+                self.values.append(F.map_keys(F.try_variant_get(WRAPPED, steps, KEYS_ONLY)).alias(f"_keys_{n}"))
+                keys_of = lambda: known
+                kind = F.when(known.isNotNull(), "OBJECT<>").otherwise(F.schema_of_variant(value))
+            else:
+                self.values.append(value.alias(f"_value_{n}"))
+                value = F.col(f"_value_{n}")
+                keys_of = lambda: self._keys_of(n)
+                kind = F.schema_of_variant(value)
+            self.kinds.append(kind.alias(f"_kind_{n}"))
             self._known[keys] = _Place(
-                F.col(f"_value_{n}"), F.col(f"_kind_{n}"), lambda: self._keys_of(n), F.lit(".".join(keys)), not keys,
-                lambda key: self._at((*keys, key)),
+                value, F.col(f"_kind_{n}"), keys_of, F.lit(".".join(keys)), not keys,
+                lambda key, below: self._at((*keys, key), below),
             )
         return self._known[keys]
 
@@ -260,7 +280,7 @@ def _checks(schema: dict | bool, place: _Place) -> list[Column]:
     if OBJECT_LIMITS & set(schema):
         own += _object_checks(schema, place)
         for key, inside in sorted(schema.get("properties", {}).items()):
-            below += _checks(inside, place.below(key))
+            below += _checks(inside, place.below(key, inside))
         if isinstance(schema.get("additionalProperties"), dict):
             below.append(_additional_checks(schema, place))
     if "items" in schema:
@@ -288,7 +308,7 @@ def _value_checks(schema: dict, place: _Place) -> list[Column]:
         for value_ in schema["enum"]:
             hit = hit | _equals(place, value_)
         add("enum", ~hit, f"is not one of [{', '.join(map(_spelled, schema['enum']))}]")
-    text, number = place.typed("string"), place.typed("double")
+    text, number = place.typed("string"), place.number()
     if TEXT_LIMITS & set(schema):
         is_text = place.is_kind("string")
         for rule, holds, said in (
@@ -331,7 +351,7 @@ def _equals(place: _Place, value) -> Column:
         return place.is_kind("boolean") & (place.typed("boolean") == value)
     if isinstance(value, str):
         return place.is_kind("string") & (place.typed("string") == value)
-    return place.is_kind("number") & (place.typed("double") == float(value))
+    return place.is_kind("number") & (place.number() == float(value))
 
 
 def _combined_checks(schema: dict, place: _Place) -> list[Column]:
@@ -394,6 +414,11 @@ def _additional_checks(schema: dict, place: _Place) -> Column:
 
 def _item_checks(schema: dict | bool, place: _Place) -> Column:
     items = F.when(place.is_kind("array"), place.typed("array<variant>"))
+    spec = _closed({"type": "array", "items": schema})
+    if spec is not None:
+        # Items of a list that holds together are not opened.
+        holds = F.forall(place.typed(spec.type_name), lambda item: _item_holds(spec.item, item))
+        items = F.when(~F.coalesce(place.kind.rlike(f"^{spec.shape}$") & holds, F.lit(False)), items)
     inside = F.transform(
         items, lambda item, at: _whole(_checks(schema, _inner(item, place.path_of(at.cast("string")))))
     )

@@ -119,3 +119,33 @@ def test_one_parse_and_no_shuffle(raw):
     plan = schema_violations(raw(*EVENTS), {"type": "object", "properties": {"a": {"anyOf": [{"type": "null"}]}}})
     text_ = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text_.count("try_parse_json") + text_.count("parse_json(") <= 2 and "Exchange" not in text_
+
+
+def test_objects_are_known_by_their_keys(raw):
+    """No copy of an object is made for its checks, and what stands in its place is still told."""
+    plan = tree_violations(raw(*EVENTS), compiled(SCHEMA), "raw_payload", KEEP)
+    columns = plan._jdf.queryExecution().analyzed().toString()
+    objects = [0, *(n for n in range(1, 40) if f"AS _keys_{n}#" in columns)]
+    assert len(objects) == 5 and all(f"AS _value_{n}#" not in columns for n in objects)
+    schema = {"properties": {"p": {"required": ["k"], "properties": {"k": {"type": "integer"}}}, "q": {"type": ["object", "null"]}}}
+    documents = [{"p": 5}, {"p": []}, {"p": None}, {"p": {}}, {"p": {"k": 2.0}}, {"p": {"k": "1"}}, {"p": {"k": 1.5}}, {"q": {}}, {"q": None}, {"q": []}]
+    assert found(raw, schema, *documents) == [
+        [], [], [], [("p", "required")], [], [("p.k", "type")], [("p.k", "type")], [], [], [("q", "type")],
+    ]
+
+
+def test_lists_of_flat_objects(raw):
+    """Items are opened one by one unless all hold together: a field that only some have, mixed kinds, limits."""
+    item = {
+        "type": "object", "additionalProperties": False, "required": ["n", "s"],
+        "properties": {"n": {"type": "number", "maximum": 2.5}, "s": {"type": "string", "minLength": 1}},
+    }
+    good = {"n": 2.5, "s": "x"}
+    lists = [
+        [], [good], [good, {"n": 1, "s": "y"}], [good, {"n": 1}], [{"n": "1", "s": "x"}, good], [{"n": 1e300, "s": ""}],
+        [good, {**good, "z": 1}], [good, None], [5], {},
+    ]
+    assert found(raw, {"properties": {"l": {"items": item}}}, *({"l": x} for x in lists)) == [
+        [], [], [], [("l.1", "required")], [("l.0.n", "type")], [("l.0.n", "maximum"), ("l.0.s", "minLength")],
+        [("l.1", "additionalProperties")], [("l.1", "type")], [("l.0", "type")], [],
+    ]
